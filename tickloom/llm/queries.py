@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources, sized
 from .scratch import Scratch
+from .substring_dedup import substring_dedup
 from .token_counts import n_tokens
 from .url_filter import Rule, filter_urls
 
@@ -116,10 +117,17 @@ mixed AS (
 """
 OP4_SQL = "WITH " + MIX_CTES.replace("{docs}", "documents") + "SELECT doc_id, size, source_size, target, size * n_copies AS taken FROM mixed"
 
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs, with_text=False).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_mix_sources": op4_mix_sources,
+    "op5_substring_dedup": op5_substring_dedup,
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mix_sources": OP4_SQL}
