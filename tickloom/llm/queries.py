@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .mixing import mix_sources, sized
 from .scratch import Scratch
 from .substring_dedup import substring_dedup
@@ -123,11 +124,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).drop("kept_text")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, Scratch(spark, "op9")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mix_sources": OP4_SQL}
