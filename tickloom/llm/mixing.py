@@ -24,6 +24,8 @@ from .text import n_words
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 DIGITS, DIGIT_BITS = 4, 15
+#: Keys over which the documents of one source are dealt in joins.
+SALTS = 64
 
 
 def document_hash(doc_id: Column, text: Column) -> Column:
@@ -37,6 +39,16 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), document_hash(F.col("doc_id"), F.col("text")).alias("h"))
 
 
+def spread(per: DataFrame) -> DataFrame:
+    """One row for each source and salt, to meet documents of a hot source in many tasks."""
+    return per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _meets(source: Column, h: Column, per: str) -> Column:
+    """Documents join the rows of ``spread`` by source and salt."""
+    return source.eqNullSafe(F.col(f"{per}.source")) & (F.pmod(h, F.lit(SALTS)).cast("int") == F.col(f"{per}.salt"))
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """source, source_size and target of every source.
 
@@ -73,13 +85,13 @@ def thresholds(sizes: DataFrame, per: DataFrame) -> DataFrame:
     """per with copies (whole ones of every document) and limit: h below it gives one copy more."""
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     per = per.withColumn("copies", copies)
-    same = F.col("s.source").eqNullSafe(F.col("b.source"))
+    same = _meets(F.col("s.source"), F.col("s.h"), "b")
     bounds = per.where("source_size > 0").select("source", F.lit(0).cast("long").alias("prefix"), (F.col("target") - F.col("copies") * F.col("source_size")).alias("budget"))
     for digit in range(1, DIGITS + 1):
         shift = DIGIT_BITS * (DIGITS - digit)
         inside = F.shiftright(F.col("s.h"), shift + DIGIT_BITS) == F.col("b.prefix")
         buckets = (
-            sizes.alias("s").join(bounds.alias("b"), same & inside)
+            sizes.alias("s").join(spread(bounds).alias("b"), same & inside)
             .groupBy("b.source", "b.budget", F.shiftright("s.h", shift).alias("prefix"))
             .agg(F.sum("s.size").alias("m"))
         )
@@ -101,7 +113,7 @@ def mix_sources(sizes: DataFrame) -> DataFrame:
     repeat in full share h and are taken together.
     """
     plan = thresholds(sizes, targets(sizes))
-    joined = sizes.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source")), "left")
+    joined = sizes.alias("s").join(spread(plan).alias("p"), _meets(F.col("s.source"), F.col("s.h"), "p"), "left")
     n = (F.col("p.copies") + (F.col("s.h") < F.col("p.limit")).cast("long")).alias("n_copies")
     return joined.select("s.doc_id", "s.source", "s.size", "p.source_size", "p.target", n).withColumn("taken", F.col("size") * F.col("n_copies"))
 
@@ -109,7 +121,8 @@ def mix_sources(sizes: DataFrame) -> DataFrame:
 def mixed_rows(docs: DataFrame, sizes: DataFrame) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
     plan = thresholds(sizes, targets(sizes))
-    h = document_hash(F.col("d.doc_id"), F.col("d.text"))
-    n = (F.col("p.copies") + (h < F.col("p.limit")).cast("long")).cast("int")
-    joined = docs.alias("d").join(plan.select("source", "copies", "limit").alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
-    return joined.select("d.*", n.alias("__n")).where("__n > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("h", document_hash(F.col("row.doc_id"), F.col("row.text"))).alias("d")
+    joined = rows.join(spread(plan).alias("p"), _meets(F.col("d.row.source"), F.col("d.h"), "p"))
+    n = (F.col("p.copies") + (F.col("d.h") < F.col("p.limit")).cast("long")).cast("int")
+    return joined.select("d.row.*", n.alias("__n")).where("__n > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
