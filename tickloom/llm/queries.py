@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality_classifier, quality_rules
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
+from .labelled import held_out
 from .mixing import mix_sources, sized
 from .scratch import Scratch
 from .substring_dedup import substring_dedup
@@ -124,17 +126,31 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).drop("kept_text")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_components(docs, Scratch(spark, "op9")).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")), with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mix_sources": OP4_SQL}
