@@ -12,8 +12,9 @@ passage that a third of all documents share reaches its bucket once a chunk.
 The bucket answers each chunk with the places of its marked windows, chunks turn
 them into intervals, and only these meet the texts again.
 
-Windows are told apart by 64 bits.  For w windows about w^2 / 2^65 pairs of
-different ones share a hash: 5e-4 for the 1.3e8 windows of a gigabyte.
+Windows are told apart by their bucket and 56 bits.  Among w windows in b buckets
+about w^2 / (b * 2^57) pairs of different ones share a hash: 2e-3 for the 1.3e8
+windows of a gigabyte of text in 50 buckets.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import U64, Words, binary_text, slices
+from . import packing
+from .text import Words, binary_text, slices
 
 WIDTH = 13
 CHUNK_BYTES = 4 << 20
+HASH_BYTES = 7
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id, which is the largest
 WINDOWS, MARKED, DOCS = 0, 1, 2
 _PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int8()), ("payload", pa.binary())])
@@ -40,19 +43,6 @@ ANSWER_DDL = "chunk long, kind byte, payload binary"
 SPANS_DDL = "doc_id long, digest long, starts array<int>, ends array<int>"
 
 
-def _join(*arrays: np.ndarray) -> bytes:
-    """Arrays in one string, with their lengths in bytes before them."""
-    parts = [np.ascontiguousarray(a).tobytes() for a in arrays]
-    return b"".join([np.array([len(parts), *map(len, parts)], np.int64).tobytes(), *parts])
-
-
-def _split(payload: bytes, *types) -> list[np.ndarray]:
-    n = int(np.frombuffer(payload, np.int64, 1)[0])
-    ends = np.cumsum(np.frombuffer(payload, np.int64, n, 8)) + 8 * (n + 1)
-    starts = [8 * (n + 1), *ends[:-1]]
-    return [np.frombuffer(payload[a:b], t) for a, b, t in zip(starts, ends, types, strict=True)]
-
-
 def _pack(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, CHUNK_BYTES):
         words = Words(*binary_text(batch.column("text")))
@@ -61,7 +51,7 @@ def _pack(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterat
             continue
         ids = batch.column("doc_id").cast(pa.int64()).fill_null(int(LAST)).to_numpy(zero_copy_only=False)
         digests = batch.column("digest").to_numpy(zero_copy_only=False)
-        docs = _join(ids, digests, np.bincount(row, minlength=batch.num_rows).astype(np.int32))
+        docs = packing.join(ids.tobytes(), digests.tobytes(), np.bincount(row, minlength=batch.num_rows).astype(np.int32).tobytes())
         chunk = int.from_bytes(hashlib.blake2b(docs, digest_size=8).digest(), "little", signed=True)
         # Windows of equal hash together: those of the smallest doc_id are sent.
         doc = ids[row]
@@ -75,27 +65,32 @@ def _pack(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterat
         if marked.any():
             rows.append((chunk % buckets, MARKED, np.flatnonzero(marked).astype(np.uint32).tobytes()))
         sent = np.flatnonzero(~marked)
-        bucket = (h[sent] % U64(buckets)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-        for b, (i, j) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
-            if i < j:
-                place = sent[by[i:j]]
-                per_doc = np.bincount(row[place], minlength=len(ids))
-                there = np.flatnonzero(per_doc)
-                rows.append((b, WINDOWS, _join(h[place], place.astype(np.uint32), ids[there], per_doc[there].astype(np.uint32))))
+        rest, by, cuts = packing.dealt(h[sent], buckets)
+        for b, i, j in cuts:
+            place = sent[by[i:j]]
+            per_doc = np.bincount(row[place], minlength=len(ids))
+            there = np.flatnonzero(per_doc)
+            payload = packing.join(packing.short(rest[by[i:j]], HASH_BYTES), packing.steps(place.astype(np.uint32)), packing.steps(ids[there]), packing.planes(per_doc[there].astype(np.uint32)))
+            rows.append((b, WINDOWS, payload))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.binary())], schema=_PACKED)
 
 
+def _windows(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place and doc_id of the windows of a row."""
+    h, place, ids, per_doc = packing.split(payload)
+    doc = np.repeat(packing.from_steps(ids, np.int64), packing.from_planes(per_doc, np.uint32))
+    return packing.from_short(h, HASH_BYTES), packing.from_steps(place, np.uint32), doc
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Places of windows whose sequence has a smaller doc_id than their own."""
     chunks, kinds, payloads = (table.column(c).to_pylist() for c in ("chunk", "kind", "payload"))
     out = [(c, k, p) for c, k, p in zip(chunks, kinds, payloads, strict=True) if k != WINDOWS]
-    parts = [(c, *_split(p, np.uint64, np.uint32, np.int64, np.uint32)) for c, k, p in zip(chunks, kinds, payloads, strict=True) if k == WINDOWS]
+    parts = [(c, *_windows(p)) for c, k, p in zip(chunks, kinds, payloads, strict=True) if k == WINDOWS]
     del payloads
     if parts:
         h = np.concatenate([p[1] for p in parts])
-        doc = np.concatenate([np.repeat(p[3], p[4]) for p in parts])
+        doc = np.concatenate([p[3] for p in parts])
         order = np.argsort(h)
         h, sorted_doc = h[order], doc[order]
         begins = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -103,7 +98,7 @@ def _answer(table: pa.Table) -> pa.Table:
         marked = np.zeros(len(h), bool)
         marked[order[sorted_doc > least]] = True
         start = 0
-        for chunk, _, place, _, _ in parts:
+        for chunk, _, place, _ in parts:
             mine = place[marked[start : start + len(place)]]
             start += len(place)
             if len(mine):
@@ -118,7 +113,7 @@ def _spans(table: pa.Table, width: int) -> pa.Table:
     docs = next((p for k, p in zip(kinds, payloads, strict=True) if k == DOCS), None)
     if not marks or docs is None:
         return _SPANS.empty_table()
-    ids, digests, n = _split(docs, np.int64, np.int64, np.int32)
+    ids, digests, n = (np.frombuffer(x, t) for x, t in zip(packing.split(docs), (np.int64, np.int64, np.int32), strict=True))
     place = np.unique(np.concatenate(marks)).astype(np.int64)
     begins = np.r_[0, np.cumsum(n)]
     row = np.searchsorted(begins, place, "right") - 1
@@ -144,7 +139,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Only documents of which something goes have a row.  A null doc_id is larger
     than all others; rows of one doc_id never mark one another.
     """
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = with_digest(docs).mapInArrow(lambda batches: _pack(batches, width, buckets), PACKED_DDL)
     answered = packed.groupBy("bucket").applyInArrow(_answer, ANSWER_DDL)
     spans = answered.groupBy("chunk").applyInArrow(lambda t: _spans(t, width), SPANS_DDL)
