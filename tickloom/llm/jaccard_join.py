@@ -5,40 +5,48 @@ settled before, without losing a pair.
 
 1.  A document's set is its distinct shingles, as 64-bit hashes.  Documents of
     equal sets share an identity and are compared once.
-2.  Hash space is dealt into parts.  Two sets with 100 * overlap >= percent *
-    union differ in at most D = size * (100 - percent) / percent elements, so of
-    the D + 1 first parts that are not empty in one of them, one is the same in
-    both.  Those parts are a document's keys: long texts need only few, and one
-    shared passage does not make two texts share a key unless the passage is
-    all that they have in a part.  The number of parts follows from the size,
-    so each document has the keys of its own size and of the smaller one a
-    partner may have.  Small sets have a part for every element.
-3.  Keys are gathered packed, as rows of raw arrays.  Documents that share keys,
-    directly or over others, form a group; groups are joined by trees.
-4.  A group too large for a task is taken apart again: each of its keys is a
-    group, and a key that is too large is dealt into tiles, every two of which
-    meet.  So no pair is lost there either.
+2.  Hash space is dealt into parts.  Two sets that are similar enough differ in
+    at most D elements, so of the first D + 1 parts that are not empty in one of
+    them, one is the same in both.  Those parts are a document's keys.  Parts
+    hold about four elements, so a passage that many texts share makes a key
+    only where nothing else falls into the part.  The number of parts follows
+    from the size class, and a document has keys for its own class and for that
+    of a smaller partner.
+3.  Keys travel packed, as rows of raw arrays.  Those that several identities
+    have are joined by trees over bitmaps: what is left are the pairs that may
+    be similar, as links that connect families.
+4.  Families are joined by trees with exact overlaps of the full sets.
 5.  Links are made into components.
+
+No group has to fit a task: a key or family that is too large is dealt into
+tiles, every two of which meet.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import packing
 from .components import components
 from .scratch import Scratch
-from .signature_tree import similar_pairs
-from .text import U64, Words, binary_text, mix64, slices
+from .signature_tree import bitmaps, folded, linked_pairs, similar_sets, words_for
+from .text import U64, WORD, Words, binary_text, mix64, slices
 
 SHINGLE, PERCENT = 4, 85
 CHUNK_BYTES = 4 << 20
-#: Sets of up to so many elements have a part for every element.
-SINGLES = 64
+#: Bytes of a key beside its bucket.  Keys that collide cost a comparison, no result.
+KEY_BYTES = 6
+#: Bits for each element in the bitmaps that meet at keys.
+SKETCH_BITS = 2
+#: The probability, for each document, that it has too few parts to be sure of a key.
+MISS = 1e-15
 #: The largest group that one task joins, in members and in elements of all sets; and a tile of a larger one.
 GROUP_MEMBERS, GROUP_ELEMENTS, TILE = 4000, 8_000_000, 1000
 
@@ -75,50 +83,86 @@ def identities(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, value, U64(0)).view(np.int64)
 
 
-def allowed_difference(n: np.ndarray, percent: int) -> np.ndarray:
+def difference(n, percent: int):
     """The most elements in which a set of n elements and a similar one, of any size, can differ."""
     return n * (100 - percent) // percent
 
 
-def level(n: np.ndarray) -> np.ndarray:
-    """How many parts hash space has for sets of n elements: 0 for one for every element, else 1.5 to 3 elements a part."""
-    return np.where(n <= SINGLES, 0, 1 << np.log2(np.maximum(n, 1) / 1.5 + 1e-9).astype(np.int64))
+def difference_from_smaller(n, percent: int):
+    """The same where the other set is not larger."""
+    return n * 2 * (100 - percent) // (100 + percent)
+
+
+def _log_chance(parts: int, most: int, n: int) -> float:
+    """Bound on the log of the chance that n elements fall into at most ``most`` of the parts."""
+    if most <= 0:
+        return -math.inf
+    if most >= parts:
+        return 0.0
+    return math.lgamma(parts + 1) - math.lgamma(most + 1) - math.lgamma(parts - most + 1) + n * math.log(most / parts)
+
+
+@lru_cache(maxsize=4)
+def size_classes(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest size of each class and its number of parts; 0 parts: every element is one.
+
+    A class spans sizes that may be similar, so a partner is of the same class
+    or the next.  It has as few parts as leave every document with one part
+    more than it may differ in, but for a chance of MISS.
+    """
+    lows, parts = [1], []
+    while lows[-1] < largest:
+        low = lows[-1]
+        high = max(low + 1, low * 100 // percent)
+        checks = [(n, difference(n, percent)) for n in {low, (low + high) // 2, high - 1}]
+        checks += [(n, difference_from_smaller(n, percent)) for n in {high - 1, (high - 1) * 100 // percent}]
+        few, many = 1, low
+        while few < many:
+            middle = (few + many) // 2
+            if all(_log_chance(middle, most, n) <= math.log(MISS) for n, most in checks):
+                many = middle
+            else:
+                few = middle + 1
+        parts.append(few if few < low else 0)
+        lows.append(high)
+    return np.array(lows), np.array(parts)
 
 
 def keys(h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all sets and the row of each."""
+    lows, parts = size_classes(percent)
     row = np.repeat(np.arange(len(n)), n)
-    smallest = -(-n * percent // 100)
-    out_key, out_row = [], []
-    for which, parts in enumerate((level(n), level(smallest))):
-        wanted = np.ones(len(n), bool) if which == 0 else parts != level(n)
+    own, other = (np.searchsorted(lows, size, "right") - 1 for size in (n, -(-n * percent // 100)))
+    out_key, out_row = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for which, wanted, most in ((own, n > 0, difference(n, percent)), (other, (n > 0) & (other < own), difference_from_smaller(n, percent))):
         use = wanted[row]
         e, r = h[use], row[use]
         if not len(e):
             continue
-        k = parts[r].astype(U64)
-        single = k == 0
-        part = np.where(single, e, e % np.maximum(k, U64(1)))
+        k = parts[which][r].astype(U64)
+        part = np.where(k == 0, e, e % np.maximum(k, U64(1)))
+        # Sets with a part for every element have the same keys in all classes.
+        salt = np.where(k == 0, 0, which[r] + 1).astype(U64)
         order = np.lexsort((part, r))
-        e, r, part, k = e[order], r[order], part[order], k[order]
+        e, r, part, salt = e[order], r[order], part[order], salt[order]
         begins = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (part[1:] != part[:-1])])
-        value = mix64(np.add.reduceat(mix64(e ^ U64(0x8EBC6AF09C88C6E3)), begins) + (part[begins] + U64(1)) * U64(0x589965CC75374CC3) + k[begins] * U64(0x1D8E4E27C47D124F))
+        value = mix64(np.add.reduceat(mix64(e ^ U64(0x8EBC6AF09C88C6E3)), begins) + (part[begins] + U64(1)) * U64(0x589965CC75374CC3) + salt[begins] * U64(0x1D8E4E27C47D124F))
         r = r[begins]
-        rank = np.arange(len(r)) - np.searchsorted(r, r)
-        first = rank <= allowed_difference(n, percent)[r]
+        first = np.arange(len(r)) - np.searchsorted(r, r) <= most[r]
         out_key.append(value[first])
         out_row.append(r[first])
-    return (np.concatenate(out_key), np.concatenate(out_row)) if out_key else (np.zeros(0, U64), np.zeros(0, np.int64))
+    return np.concatenate(out_key), np.concatenate(out_row)
 
 
-_DOCS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sid", pa.int64())])
-DOCS_DDL = "doc_id long, digest long, n long, sid long"
+_DOCS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary())])
+DOCS_DDL = "doc_id long, digest long, n long, sid long, sketch binary"
 
 
 def _documents(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, CHUNK_BYTES):
         h, n = shingle_sets(batch, width)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("digest"), pa.array(n, pa.int64()), pa.array(identities(h, n))], schema=_DOCS)
+        sketches = bitmaps(h, n, words_for(n, SKETCH_BITS))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("digest"), pa.array(n, pa.int64()), pa.array(identities(h, n)), pa.array([s.tobytes() for s in sketches], pa.binary())], schema=_DOCS)
 
 
 def _packed_keys(batches: Iterator[pa.RecordBatch], width: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -132,29 +176,27 @@ def _packed_keys(batches: Iterator[pa.RecordBatch], width: int, percent: int, bu
         key, row = keys(h, n, percent)
         if not len(key):
             continue
-        bucket = (key % U64(buckets)).astype(np.int64)
-        by = np.lexsort((row, bucket))
-        ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+        order = np.argsort(row, kind="stable")
+        rest, by, cuts = packing.dealt(key[order], buckets)
+        row = row[order]
         rows = []
-        for b, (i, j) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
-            if i < j:
-                per = np.bincount(row[by[i:j]], minlength=len(n))
-                there = np.flatnonzero(per)
-                rows.append((b, key[by[i:j]].tobytes(), sid[there].tobytes(), per[there].astype(np.uint32).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "keys", "sids", "counts"])
+        for b, i, j in cuts:
+            per = np.bincount(row[by[i:j]], minlength=len(n))
+            there = np.flatnonzero(per)
+            rows.append((b, packing.join(packing.short(rest[by[i:j]], KEY_BYTES), sid[there].tobytes(), packing.planes(per[there].astype(np.uint32)))))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "payload"])
 
 
-_SHARED = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("first", pa.int64())])
+_SHARED = pa.schema([("key", pa.int64()), ("sid", pa.int64())])
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """key, identity and the key's smallest identity, of keys that several identities have."""
-    read = lambda name, t: [np.frombuffer(x, t) for x in table.column(name).to_pylist()]
-    key = np.concatenate(read("keys", np.uint64)).view(np.int64)
-    sid = np.concatenate([np.repeat(s, c) for s, c in zip(read("sids", np.int64), read("counts", np.uint32), strict=True)])
+    """key and identity, of keys that several identities have."""
+    parts = [packing.split(p) for p in table.column("payload").to_pylist()]
+    key = np.concatenate([packing.from_short(p[0], KEY_BYTES) for p in parts])
+    sid = np.concatenate([np.repeat(np.frombuffer(p[1], np.int64), packing.from_planes(p[2], np.uint32)) for p in parts])
     order = np.argsort(key)
-    sorted_key = key[order]
-    again = sorted_key[1:] == sorted_key[:-1]
+    again = key[order][1:] == key[order][:-1]
     order = order[np.r_[again, False] | np.r_[False, again]]
     key, sid = key[order], sid[order]
     order = np.lexsort((sid, key))
@@ -164,11 +206,54 @@ def _shared(table: pa.Table) -> pa.Table:
         key, sid = key[new], sid[new]
         begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         each = np.diff(np.r_[begins, len(key)])
-        first, several = np.repeat(sid[begins], each), np.repeat(each > 1, each)
-        key, sid, first = key[several], sid[several], first[several]
-    else:
-        first = sid
-    return pa.Table.from_arrays([pa.array(key), pa.array(sid), pa.array(first)], schema=_SHARED)
+        several = np.repeat(each > 1, each)
+        key, sid = key[several], sid[several]
+    bucket = table.column("bucket")[0].as_py()
+    return pa.Table.from_arrays([pa.array(mix64(key * U64(0x9E3779B97F4A7C15) + U64(bucket)).view(np.int64)), pa.array(sid)], schema=_SHARED)
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _links(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_LINKS)
+
+
+def _by_group(group: np.ndarray, sid: np.ndarray) -> list[np.ndarray]:
+    """The rows of each group, in the order of sid, without repeats."""
+    order = np.lexsort((sid, group))
+    g, s = group[order], sid[order]
+    order = order[np.r_[True, (g[1:] != g[:-1]) | (s[1:] != s[:-1])]]
+    g = group[order]
+    return np.split(order, np.flatnonzero(g[1:] != g[:-1]) + 1)
+
+
+def _possible(table: pa.Table, percent: int) -> pa.Table:
+    """Links of pairs with a common key that may be similar by their bitmaps."""
+    sid, n = table.column("sid").to_numpy(), table.column("n").to_numpy()
+    sketch = [np.frombuffer(s, U64) for s in table.column("sketch").to_pylist()]
+    groups = [g for g in _by_group(table.column("grp").to_numpy(), sid) if len(g) > 1]
+    # Most keys have two identities, and near copies have many such keys in common.
+    pairs = np.array([g for g in groups if len(g) == 2], np.int64).reshape(-1, 2)
+    out = []
+    if len(pairs):
+        _, once = np.unique(sid[pairs], axis=0, return_index=True)
+        pairs = pairs[once]
+        small, large = np.minimum(n[pairs[:, 0]], n[pairs[:, 1]]), np.maximum(n[pairs[:, 0]], n[pairs[:, 1]])
+        for x, y in pairs[100 * small >= percent * large]:
+            words = min(len(sketch[x]), len(sketch[y]))
+            a, b = folded(sketch[x], words), folded(sketch[y], words)
+            excess = min(n[x] - np.bitwise_count(a).sum(dtype=np.int64), n[y] - np.bitwise_count(b).sum(dtype=np.int64))
+            if (100 + percent) * (np.bitwise_count(a & b).sum(dtype=np.int64) + excess) >= percent * (n[x] + n[y]):
+                out.append((sid[x], sid[y]))
+    seen = set()
+    for own in groups:
+        members = sid[own].tobytes()
+        if len(own) > 2 and members not in seen:
+            seen.add(members)
+            out += [(sid[own[x]], sid[own[y]]) for x, y in linked_pairs(n[own], [sketch[k] for k in own], percent)]
+    out = np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
+    return _links(out[:, 0], out[:, 1])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -180,25 +265,16 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(right)), pa.array([h[ends[r] - n[r] : ends[r]].tobytes() for r in right], pa.binary())], ["sid", "elements"])
 
 
-_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
 def _join_groups(table: pa.Table, percent: int) -> pa.Table:
-    """Links within each group of a bucket."""
-    group = table.column("grp").to_numpy()
+    """Links of similar sets within each group."""
     sid = table.column("sid").to_numpy()
     elements = table.column("elements").combine_chunks()
-    order = np.lexsort((sid, group))
-    begins = np.flatnonzero(np.r_[True, group[order][1:] != group[order][:-1]])
-    out_a, out_b = [], []
-    for i, j in zip(begins, np.r_[begins[1:], len(order)], strict=True):
-        own = order[i:j]
-        own = own[np.r_[True, sid[own][1:] != sid[own][:-1]]]
+    out = []
+    for own in _by_group(table.column("grp").to_numpy(), sid):
         sets = [np.frombuffer(elements[int(k)].as_buffer(), U64) for k in own]
-        for x, y in similar_pairs(sets, percent):
-            out_a.append(sid[own[x]])
-            out_b.append(sid[own[y]])
-    return pa.Table.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], schema=_LINKS)
+        out += [(sid[own[x]], sid[own[y]]) for x, y in similar_sets(sets, percent)]
+    out = np.array(out, np.int64).reshape(-1, 2)
+    return _links(out[:, 0], out[:, 1])
 
 
 def with_digest(docs: DataFrame) -> DataFrame:
@@ -206,24 +282,27 @@ def with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("digest"))
 
 
-def _groups(shared: DataFrame, sizes: DataFrame, scratch: Scratch, group_members: int, group_elements: int, tile: int) -> DataFrame:
-    """grp and sid: groups that a task can join, so that every two identities with a common key meet in one."""
-    roots = scratch.save(components(shared.select(F.col("sid").alias("a"), F.col("first").alias("b")), scratch, "candidates"), "roots")
-    members = roots.join(sizes, roots.node == sizes.sid).select("root", "sid", "n")
-    totals = members.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
-    fits = (F.col("m") <= group_members) & (F.col("total") <= group_elements)
-    totals = scratch.save(totals.select("root", fits.alias("fits")), "totals")
-    small = members.join(totals.where("fits"), "root", "left_semi").select(F.col("root").alias("grp"), "sid")
-    large = members.join(totals.where("not fits"), "root", "left_semi").select("sid")
-    by_key = shared.join(large, "sid", "left_semi").select("key", "sid")
-    tiles = by_key.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("q"))
-    mine = F.pmod(F.xxhash64("sid", F.lit(1)), F.col("q")).cast("int")
-    dealt = (
-        by_key.join(tiles, "key").withColumn("mine", mine)
+def tiled(rows: DataFrame, key: str, members: int, tile: int) -> DataFrame:
+    """grp and sid: each key's rows as one group, or where they are over ``members``, in groups of two tiles each."""
+    q = F.when(F.count(F.lit(1)) > members, F.ceil(F.count(F.lit(1)) / F.lit(tile))).otherwise(1).cast("int")
+    large = rows.groupBy(key).agg(q.alias("q")).where("q > 1")
+    whole = rows.join(large, key, "left_anti").select(F.col(key).alias("grp"), "sid")
+    parts = (
+        rows.join(large, key).withColumn("mine", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("q")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("q") - 1)))
-        .select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"), "sid")
+        .select(F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"), "sid")
     )
-    return small.unionByName(dealt)
+    return whole.unionByName(parts)
+
+
+def _family_groups(families: DataFrame, shared: DataFrame, sizes: DataFrame, scratch: Scratch, members: int, elements: int, tile: int) -> DataFrame:
+    """grp and sid so that every two of a family with a common key meet: whole families, of larger ones each key."""
+    rows = families.join(sizes.select("sid", "n"), families.node == sizes.sid).select("root", "sid", "n")
+    totals = rows.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    large = scratch.save(totals.where((F.col("m") > members) | (F.col("total") > elements)).select("root"), "large")
+    small = rows.join(large, "root", "left_anti").select(F.col("root").alias("grp"), "sid")
+    inside = rows.join(large, "root", "left_semi").select("sid")
+    return small.unionByName(tiled(shared.join(inside, "sid", "left_semi"), "key", members, tile))
 
 
 def jaccard_components(
@@ -235,7 +314,7 @@ def jaccard_components(
     group_elements: int = GROUP_ELEMENTS,
     tile: int = TILE,
 ) -> DataFrame:
-    """doc_id, digest (of the text), n_shingles and component_id of every row.
+    """doc_id, digest (of the text), n_shingles, component_id and root (null where empty) of every row.
 
     Texts are lower-cased in A-Z.  Two documents link when 100 * overlap >=
     percent * union of their sets of ``width``-word shingles; component_id is
@@ -243,25 +322,51 @@ def jaccard_components(
     nothing and are their own component.  A null doc_id is nobody's smallest
     unless the whole component has none.  Sets are told apart by 64 bits.
     """
-    if not 70 <= percent <= 100:  # below, a partner's number of parts could be more than one step from a document's own
-        raise ValueError("percent must be from 70 to 100")
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be from 50 to 100")
     texts = with_digest(docs)
-    base = scratch.save(texts.mapInArrow(lambda b: _documents(b, width), DOCS_DDL), "documents")
-    sizes = base.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    sizes = scratch.save(sizes, "sizes")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = texts.mapInArrow(lambda b: _packed_keys(b, width, percent, 2 * partitions), "bucket int, keys binary, sids binary, counts binary")
-    shared = scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, sid long, first long"), "shared")
-    groups = scratch.save(_groups(shared, sizes, scratch, group_members, group_elements, tile), "groups")
+    base = scratch.save(texts.mapInArrow(lambda b: _documents(b, width), DOCS_DDL), "documents")
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n", "sketch")).alias("one")
+    sizes = scratch.save(base.where("n > 0").groupBy("sid").agg(one).select("sid", "one.doc_id", "one.n", "one.sketch"), "sizes")
+
+    packed = texts.mapInArrow(lambda b: _packed_keys(b, width, percent, max(1, partitions // 2)), "bucket int, payload binary")
+    shared = scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, sid long"), "shared")
+    bucket = F.pmod(F.xxhash64("grp"), F.lit(4 * partitions)).cast("int").alias("bucket")
+    met = tiled(shared, "key", group_members, tile).join(sizes, "sid").select("grp", "sid", "n", "sketch", bucket)
+    possible = scratch.save(met.groupBy("bucket").applyInArrow(lambda t: _possible(t, percent), "a long, b long"), "possible")
+
+    families = scratch.save(components(possible, scratch, "possible"), "families")
+    groups = scratch.save(_family_groups(families, shared, sizes, scratch, group_members, group_elements, tile), "groups")
     active = groups.select("sid").distinct().join(sizes, "sid").select("sid", "doc_id")
     wanted = texts.alias("d").join(active.alias("a"), F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))).select("a.sid", "d.text")
     sets = wanted.mapInArrow(lambda b: _sets(b, width), "sid long, elements binary")
-    gathered = groups.join(sets, "sid").withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(8 * partitions)).cast("int"))
-    links = gathered.groupBy("bucket").applyInArrow(lambda t: _join_groups(t, percent), "a long, b long")
-    linked = components(scratch.save(links, "links"), scratch, "links")
+    gathered = groups.join(sets, "sid").select("grp", "sid", "elements", bucket)
+    links = scratch.save(gathered.groupBy("bucket").applyInArrow(lambda t: _join_groups(t, percent), "a long, b long"), "links")
+
+    linked = components(links, scratch, "links")
     reached = linked.join(sizes, linked.node == sizes.sid).select("sid", "root", "doc_id")
     least = reached.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     smallest = sizes.select("sid", "doc_id").join(reached.select("sid", "root").join(least, "root"), "sid", "left")
-    smallest = smallest.select("sid", F.coalesce("component_id", "doc_id").alias("component_id"))
+    smallest = smallest.select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
     found = base.join(smallest, "sid", "left")
-    return found.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root")
+
+
+def one_per_group(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
+    """The rows of docs without those that a row of their component stands for.
+
+    Of each component the row with the smallest doc_id (null last) stays, of
+    rows that repeat in full one, and every row without words.
+    """
+    found = jaccard_components(docs, scratch, **options)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best")
+    stays = scratch.save(found.where("root is not null").groupBy("root").agg(best).select("best.doc_id", "best.digest"), "stays")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("digest", F.xxhash64(text))
+    # Equal texts are of one component, so a digest stays at most once.
+    joined = rows.join(stays.select("digest", "doc_id", F.lit(True).alias("met")), "digest", "left")
+    empty = ~text.rlike(WORD)
+    first = F.row_number().over(Window.partitionBy("digest").orderBy(F.lit(1)))
+    kept = joined.where(empty | (F.col("met") & F.col("row.doc_id").eqNullSafe(F.col("doc_id")))).withColumn("first", first)
+    return kept.where(empty | (F.col("first") == 1)).select("row.*")

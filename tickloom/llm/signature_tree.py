@@ -8,6 +8,8 @@ have; where that is too small for the threshold, no pair below is looked at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 LEAF, FANOUT = 32, 8
@@ -22,13 +24,25 @@ class _Node:
         self.members, self.children, self.low, self.high, self.excess, self.mask = members, children, low, high, excess, mask
 
 
-def _bitmaps(sets: list[np.ndarray], words: int) -> np.ndarray:
-    """A row of 64-bit words for each set; element e has bit e modulo the size."""
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    bits = (np.concatenate(sets) % np.uint64(words * 64)).astype(np.int64)
-    flat = np.zeros(len(sets) * words, np.uint64)
-    np.bitwise_or.at(flat, rows * words + bits // 64, np.uint64(1) << (bits % 64).astype(np.uint64))
-    return flat.reshape(len(sets), words)
+def bitmaps(elements: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """64-bit words of each set, words[i] (a power of two) for set i; element e has bit e modulo the size."""
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    starts = np.cumsum(words) - words
+    bits = elements & (words[rows] * 64 - 1).astype(np.uint64)
+    flat = np.zeros(int(words.sum()), np.uint64)
+    at = starts[rows] + (bits >> np.uint64(6)).astype(np.int64)
+    np.bitwise_or.at(flat, at, np.uint64(1) << (bits & np.uint64(63)))
+    return np.split(flat, np.cumsum(words)[:-1])
+
+
+def words_for(n: np.ndarray, bits_per_element: int) -> np.ndarray:
+    """The power of two of 64-bit words that gives sets of n elements so many bits each."""
+    return 1 << np.ceil(np.log2(np.maximum(n * bits_per_element / 64, 1))).astype(np.int64)
+
+
+def folded(mask: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap that the same elements have in ``words`` words."""
+    return np.bitwise_or.reduce(mask.reshape(-1, words), axis=0)
 
 
 def _tree(sizes: np.ndarray, excess: np.ndarray, masks: np.ndarray) -> _Node:
@@ -45,24 +59,23 @@ def _tree(sizes: np.ndarray, excess: np.ndarray, masks: np.ndarray) -> _Node:
     return level[0]
 
 
-def similar_pairs(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect the sets just as all pairs with 100 * overlap >= percent * union would.
+def linked_pairs(sizes: np.ndarray, masks: list[np.ndarray], percent: int, overlap: Callable[[int, int], int] | None = None) -> list[tuple[int, int]]:
+    """Links that connect sets just as all pairs with 100 * overlap >= percent * union would.
 
-    sets: sorted distinct uint64 values, none empty.  Pairs that links found so
-    far connect already are not compared, so a family of near copies costs one
-    comparison or so for each member.  Overlaps are exact.
+    sizes and bitmaps of the sets; overlap gives the exact overlap of two of
+    them.  Without it pairs link that by their bitmaps may be that similar.
+    Pairs that links found so far connect already are not compared, so a family
+    of near copies costs one comparison or so for each member.
     """
-    if len(sets) < 2:
+    if len(sizes) < 2:
         return []
-    lengths = np.array([len(s) for s in sets])
-    # Alike sets side by side: by size class, then by smallest element.
-    order = np.lexsort((np.array([s[0] for s in sets]), np.log(lengths) // np.log(1.2)))
-    sizes = lengths[order]
-    sets = [sets[i] for i in order]
-    words = 1 << max(0, int(BITS_PER_ELEMENT * sizes.max() - 1).bit_length() - 6)
-    masks = _bitmaps(sets, min(words, MOST_WORDS))
+    words = min(map(len, masks))
+    masks = np.stack([folded(m, words) for m in masks])
+    # Alike sets side by side: by size class, then by bitmap.
+    order = np.lexsort((masks[:, 0], np.log(sizes) // np.log(1.2)))
+    sizes, masks = sizes[order], masks[order]
     excess = sizes - np.bitwise_count(masks).sum(axis=1)  # elements that share a bit with another
-    label = np.arange(len(sets))
+    label = np.arange(len(sizes))
     links: list[tuple[int, int]] = []
 
     def too_small(a: _Node, b: _Node) -> bool:
@@ -84,9 +97,9 @@ def similar_pairs(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
         i, j = i[by], j[by]
         while len(i):
             x, y = int(i[0]), int(j[0])
-            overlap = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
             i, j = i[1:], j[1:]
-            if 100 * overlap >= percent * (sizes[x] + sizes[y] - overlap):
+            common = None if overlap is None else overlap(int(order[x]), int(order[y]))
+            if common is None or 100 * common >= percent * (sizes[x] + sizes[y] - common):
                 links.append((int(order[x]), int(order[y])))
                 label[label == label[y]] = label[x]
                 apart = label[i] != label[j]
@@ -107,3 +120,11 @@ def similar_pairs(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
         else:
             stack += [(a, y) for y in b.children]
     return links
+
+
+def similar_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """linked_pairs of sets given as sorted distinct uint64 values, none empty."""
+    sizes = np.array([len(s) for s in sets])
+    words = np.minimum(words_for(np.full(len(sets), sizes.max(initial=1)), BITS_PER_ELEMENT), MOST_WORDS)
+    masks = bitmaps(np.concatenate(sets), sizes, words) if sets else []
+    return linked_pairs(sizes, masks, percent, lambda x, y: len(np.intersect1d(sets[x], sets[y], assume_unique=True)))
