@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier, quality_rules
+from . import quality_classifier, quality_rules, toxicity
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .labelled import held_out
 from .mixing import mix_sources, sized
+from .packing_sequences import pack_sequences
 from .scratch import Scratch
 from .substring_dedup import substring_dedup
 from .token_counts import n_tokens
@@ -126,6 +127,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).drop("kept_text")
 
 
+def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "op6"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
@@ -133,6 +141,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), Scratch(spark, "op8"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_components(docs, Scratch(spark, "op9")).select("doc_id", "n_shingles", "component_id")
@@ -149,7 +164,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_pack_sequences": op6_pack_sequences,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
