@@ -89,11 +89,12 @@ class Words:
     bounds[r] to bounds[r + 1] are the words of row r.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, inside: np.ndarray | None = None):
+        """inside: which bytes words are made of, where they are not the words above."""
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
         self.data, self.offsets, self.rows = data, offsets, len(offsets) - 1
-        inside = ~is_space(data)
+        inside = ~is_space(data) if inside is None else inside
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         ends = inside.copy()
@@ -109,10 +110,19 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit polynomial hash of every word, whitened."""
+        return self.prefix_hashes(())[0]
+
+    def prefix_hashes(self, lengths: tuple[int, ...]) -> list[np.ndarray]:
+        """Hashes of whole words, then for each length of the first bytes of every word longer than that, else 0."""
         up, down = powers(_BYTE_BASE, len(self.data))
         total = np.zeros(len(self.data) + 1, U64)
         np.cumsum((self.data.astype(U64) + U64(1)) * up[: len(self.data)], out=total[1:])
-        return mix64((total[self.ends] - total[self.starts]) * down[self.starts])
+        head, back = total[self.starts], down[self.starts]
+        out = [mix64((total[self.ends] - head) * back)]
+        for n in lengths:
+            stop = np.minimum(self.starts + n, self.ends)
+            out.append(np.where(self.ends - self.starts > n, mix64((total[stop] - head) * back + U64(n)), U64(0)))
+        return out
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rabin-Karp hash, row and first word of every run of width words within one text.
