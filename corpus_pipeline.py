@@ -1,5 +1,65 @@
-"""Placeholder stages; replaced when all operators exist."""
-STAGES = []
+"""A corpus pipeline: quality rules, exact and near deduplication, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one
+before kept.  All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from tickloom.llm import quality_rules
+from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.jaccard_join import one_per_group
+from tickloom.llm.mixing import mixed_rows, sized
+from tickloom.llm.packing_sequences import pack_sequences
+from tickloom.llm.scratch import Scratch
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules; the raw multinomial is that of docs."""
+    model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.judge(docs, model).where("kept").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
+    return exact_dedup(docs, Scratch(spark, "pipeline-copies")).where("kept").select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of similar texts."""
+    return one_per_group(docs, Scratch(spark, "pipeline-near"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row as often as the mix takes it, up to three times."""
+    sizes = Scratch(spark, "pipeline-mix").save(sized(docs), "sizes")
+    return mixed_rows(docs, sizes)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences."""
+    return pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "pipeline-pack"))
+
+
+STAGES = [
+    ("quality_rules", keep_good),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("mix_sources", mix),
+    ("pack_sequences", pack),
+]
+
+#: Signature trees, importance ratios and packing have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each result written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch = Scratch(spark, "pipeline")
+    for name, stage in STAGES:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return docs
