@@ -23,7 +23,7 @@ from .text import n_words
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-DIGITS, DIGIT_BITS = 4, 15
+DIGITS, DIGIT_BITS = 6, 10
 #: Keys over which the documents of one source are dealt in joins.
 SALTS = 64
 
