@@ -1,0 +1,335 @@
+"""Raw archives, names, downloads, the lake, report, export, streams and the command line."""
+
+from __future__ import annotations
+
+import asyncio
+import gzip
+import hashlib
+import json
+import urllib.error
+import zipfile
+from datetime import UTC, date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom import cli
+from tickloom.operators.bars import resample
+from tickloom.plans import normalize
+from tickloom.plans.enrich import enriched_bars
+from tickloom.plans.report import quality_report
+from tickloom.schemas import BAR_KEY, TRADE_KEY, TRADES
+from tickloom.sources import download, names
+from tickloom.sources.export import export_sample, write_flat
+from tickloom.sources.lake import Lake
+from tickloom.streaming import bars as streams
+
+B = 1_704_067_200_000_000
+FEB = 1_706_745_600_000_000
+DAY = 86_400_000_000
+
+
+def trade(i, t, symbol="BTC-USDT", quantity=1.0, price=100.0):
+    return ("binance", "spot", symbol, t, str(i), price, quantity, price * quantity, "buy", False)
+
+
+def make(spark, *rows):
+    return spark.createDataFrame(list(rows), TRADES)
+
+
+def zipped(path, text, name="data.csv"):
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr(name, text)
+    return str(path)
+
+
+# --- raw archives
+
+
+def test_archive_without_header(spark, tmp_path):
+    p = zipped(tmp_path / "a.zip", "1,50000.5,0.1,5000.05,1704067200000,True,True\n2,50001.0,0.2,10000.20,1704067201000,False,True\n")
+    a, b = normalize.archive_trades(spark, p, "BTCUSDT").orderBy("timestamp_utc").collect()
+    assert (a.trade_id, a.side, a.timestamp_utc, a.symbol, a.exchange, a.market_type) == ("1", "sell", B, "BTC-USDT", "binance", "spot")
+    assert (b.side, b.quote_quantity) == ("buy", 10000.20)
+
+
+def test_archive_with_header_bad_rows_and_repeats(spark, tmp_path):
+    p = zipped(tmp_path / "a.zip", "id,price,qty,quote_qty,time,is_buyer_maker,is_best_match\n2,1,1,1,1704067201000,,True\n1,1,1,1,1704067200000,true,True\n1,1,1,1,1704067205000,True,True\n3,0,1,0,1704067200000,True,True\n4,x,1,1,1704067200000,True,True\n")
+    rows = normalize.archive_trades(spark, p, "ETHUSDT").orderBy("timestamp_utc").collect()
+    assert [(r.trade_id, r.timestamp_utc, r.side) for r in rows] == [("1", B, "sell"), ("2", B + 1_000_000, "buy")]
+
+
+def test_aggregated_archive_and_errors(spark, tmp_path):
+    p = zipped(tmp_path / "a.zip", "7,2.0,3.0,1,2,1704067200000,False,True\n")
+    (r,) = normalize.archive_trades(spark, p, "BTCUSDT", "futures/um", "aggTrades").collect()
+    assert (r.trade_id, r.quote_quantity, r.market_type) == ("7", 6.0, "linear_perpetual")
+    with pytest.raises(ValueError, match="market"):
+        normalize.archive_trades(spark, p, "BTCUSDT", "moon")
+    with pytest.raises(ValueError, match="data type"):
+        normalize.archive_trades(spark, p, "BTCUSDT", "spot", "quotes")
+    two = tmp_path / "two.zip"
+    with zipfile.ZipFile(two, "w") as z:
+        z.writestr("a.csv", "1")
+        z.writestr("b.csv", "1")
+    with pytest.raises(Exception, match="exactly one .csv"):
+        normalize.archive_trades(spark, str(two), "BTCUSDT").collect()
+
+
+def test_executions(spark, tmp_path):
+    p = tmp_path / "BTCUSD2024-01-01.csv.gz"
+    head = "timestamp,symbol,side,size,price,tickDirection,trdMatchID,grossValue,homeNotional,foreignNotional\n"
+    p.write_bytes(gzip.compress((head + "1704067200.123456,BTCUSD,Buy,25000,50000,PlusTick,abc-123,1,0.5,25000.0\n1704067201.5,BTCUSD,Sell,1,50000,PlusTick,def-456,1,0.1,5000\n").encode()))
+    rows = {r.trade_id: r for r in normalize.execution_trades(spark, str(p), "BTCUSD", "inverse").collect()}
+    a = rows["abc-123"]
+    assert (a.timestamp_utc, a.quantity, a.quote_quantity, a.side, a.market_type) == (1_704_067_200_123_456, 0.5, 25000.0, "buy", "inverse_perpetual")
+    assert rows["def-456"].side == "sell"
+
+
+def test_pages(spark, tmp_path):
+    (tmp_path / "1.json").write_text(json.dumps({"error": [], "result": {"XXBTZUSD": [[50000.1, "0.5", 1704067200.111, "b", "m", "", 999]], "last": "1"}}))
+    (tmp_path / "2.json").write_text(json.dumps({"error": [], "result": {"XXBTZUSD": [[50010.0, "0.25", 1704067260.222, "s", "l", ""], ["50010.0", "1", 1704067260.0, "s", "l", ""]], "last": "2"}}))
+    rows = normalize.page_trades(spark, str(tmp_path), "XXBTZUSD").orderBy("timestamp_utc", "trade_id").collect()
+    assert [(r.trade_id, r.side, r.symbol) for r in rows] == [("999", "buy", "BTC-USD"), ("1704067260.0-1", "sell", "BTC-USD"), ("1704067260.222-0", "sell", "BTC-USD")]
+
+
+def test_depth(spark, tmp_path):
+    p = zipped(tmp_path / "d.zip", "timestamp,percentage,depth,notional\n1704067200000,-1,1.5,75000.0\n1704067200000,1,2.0,100100.0\n")
+    rows = normalize.archive_depth(spark, p, "BTCUSDT").orderBy("percentage").collect()
+    assert [(r.timestamp_utc, r.percentage, r.depth, r.notional, r.symbol) for r in rows] == [(B, -1, 1.5, 75000.0, "BTC-USDT"), (B, 1, 2.0, 100100.0, "BTC-USDT")]
+    with pytest.raises(ValueError, match="missing expected bookDepth column"):
+        normalize.archive_depth(spark, zipped(tmp_path / "e.zip", "timestamp,percentage,depth\n1,1,1\n"), "BTCUSDT")
+
+
+# --- names and downloads
+
+
+def test_names():
+    assert names.months(date(2023, 11, 5), date(2024, 2, 1)) == [(2023, 11), (2023, 12), (2024, 1), (2024, 2)]
+    assert names.days(date(2024, 1, 30), date(2024, 2, 1)) == [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1)]
+    assert names.days(date(2024, 2, 1), date(2024, 1, 1)) == []
+    assert names.monthly_key("spot", "BTCUSDT", 2024, 1) == "data/spot/monthly/trades/BTCUSDT/BTCUSDT-trades-2024-01.zip"
+    assert names.daily_key("futures/um", "BTCUSDT", date(2024, 1, 2), "bookDepth") == "data/futures/um/daily/bookDepth/BTCUSDT/BTCUSDT-bookDepth-2024-01-02.zip"
+    assert names.executions_url("BTCUSD", date(2024, 1, 2)).endswith("/BTCUSD/BTCUSD2024-01-02.csv.gz")
+    assert names.Archive("a/b.zip").filename == "b.zip"
+
+
+def test_listing_follows_markers():
+    page = '<R xmlns="http://s3.amazonaws.com/doc/2006-03-01/"><IsTruncated>{}</IsTruncated>{}</R>'
+    answers = {None: page.format("true", "<Contents><Key>a.zip</Key></Contents><Contents><Key>a.zip.CHECKSUM</Key></Contents>"), "a.zip.CHECKSUM": page.format("false", "<Contents><Key>b.zip</Key></Contents>")}
+    assert [a.key for a in names.list_archives("p", lambda url, q: answers[q.get("marker")])] == ["a.zip", "b.zip"]
+
+
+class Server:
+    def __init__(self, body=b"x" * 10, faults=0, status=None, ranges=True):
+        self.body, self.faults, self.status, self.ranges, self.asked = body, faults, status, ranges, []
+
+    def __call__(self, url, headers):
+        self.asked.append((url, headers))
+        if self.faults:
+            self.faults -= 1
+            raise urllib.error.URLError("down")
+        if self.status:
+            return download.Reply(self.status, iter(()))
+        if "Range" in headers and self.ranges:
+            start = int(headers["Range"][6:-1])
+            return download.Reply(416 if start >= len(self.body) else 206, iter([self.body[start:]]))
+        return download.Reply(200, iter([self.body[:4], self.body[4:]]))
+
+
+def loader(server, **options):
+    async def pause(_):
+        return None
+
+    return download.Downloader(transport=server, pause=pause, **options)
+
+
+def test_download_cache_resume_retry(tmp_path):
+    body = b"0123456789"
+    digest = hashlib.sha256(body).hexdigest()
+    path, server = tmp_path / "d" / "f", Server(body, faults=2)
+    run = asyncio.run
+    assert run(loader(server).fetch("u", path, digest)) == download.Fetched("u", path, False, 10)
+    assert run(loader(server).fetch("u", path, digest)).skipped and len(server.asked) == 3
+    path.write_bytes(b"bad")
+    assert not run(loader(server).fetch("u", path, digest)).skipped and path.read_bytes() == body
+    for ranges in (True, False):
+        path.unlink()
+        (tmp_path / "d" / "f.part").write_bytes(body[:4])
+        run(loader(Server(body, ranges=ranges)).fetch("u", path, digest))
+        assert path.read_bytes() == body
+    path.rename(tmp_path / "d" / "f.part")
+    run(loader(Server(body)).fetch("u", path))
+    assert path.read_bytes() == body
+    with pytest.raises(download.ChecksumError):
+        run(loader(server).fetch("u", tmp_path / "g", "0" * 64))
+    assert not (tmp_path / "g").exists()
+    with pytest.raises(urllib.error.URLError):
+        run(loader(Server(faults=9), tries=3).fetch("u", tmp_path / "h"))
+
+
+def test_harvest_and_pages(tmp_path):
+    body = b"zip"
+    digest = hashlib.sha256(body).hexdigest()
+
+    def archive(url, headers):
+        if "2024-02" in url:
+            return download.Reply(404, iter(()))
+        return download.Reply(200, iter([f"{digest}  f".encode() if url.endswith(".CHECKSUM") else body]))
+
+    found = asyncio.run(download.harvest_monthly(loader(archive, tries=1), "spot", "BTCUSDT", date(2024, 1, 1), date(2024, 2, 1), tmp_path))
+    assert [p.relative_to(tmp_path).as_posix() for p in found] == ["spot/monthly/trades/BTCUSDT/BTCUSDT-trades-2024-01.zip"]
+
+    asked = []
+
+    def pages(url, headers):
+        asked.append(url)
+        since = int(url.split("since=")[1])
+        return download.Reply(200, iter([json.dumps({"error": [], "result": {"P": [[1]] * 2, "last": str(min(since + 10, 25))}}).encode()]))
+
+    got = asyncio.run(download.fetch_pages(loader(pages), "P", 0, 30, tmp_path))
+    assert [p.since_ns for p in got] == [0, 10, 20, 25] and sum(p.trade_count for p in got) == 8
+    asyncio.run(download.fetch_pages(loader(pages), "P", 0, 30, tmp_path))
+    assert len(asked) == 4
+    with pytest.raises(download.PageError):
+        asyncio.run(download.fetch_pages(loader(lambda u, h: download.Reply(200, iter([b'{"error": ["no"]}']))), "Q", 0, 1, tmp_path))
+
+
+# --- the lake
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+def test_lake_layout(spark, lake, tmp_path):
+    assert lake.tables() == [] and lake.write(make(spark), "trades", "timestamp_utc") == 0
+    assert lake.write(make(spark, trade(1, B), trade(2, FEB), trade(3, B, "ETH-USDT")), "trades", "timestamp_utc") == 3
+    assert (tmp_path / "lake/trades/exchange=binance/symbol=BTC-USDT/year=2024/month=01").is_dir()
+    assert lake.tables() == ["trades"]
+    r = lake.sql("SELECT exchange, symbol, year, month, COUNT(*) AS n FROM trades GROUP BY ALL ORDER BY ALL").collect()
+    assert [tuple(x) for x in r] == [("binance", "BTC-USDT", 2024, 1, 1), ("binance", "BTC-USDT", 2024, 2, 1), ("binance", "ETH-USDT", 2024, 1, 1)]
+    assert lake.sql("SELECT COUNT(*) FROM trades WHERE symbol = :s", s="ETH-USDT").first()[0] == 1
+
+
+def test_lake_replace_and_merge(spark, lake):
+    for _ in range(2):
+        lake.write(make(spark, trade(1, B)), "trades", "timestamp_utc")
+    assert lake.read("trades").count() == 1
+    lake.write(make(spark, trade(1, B, quantity=5.0), trade(2, B + 1)), "trades", "timestamp_utc", merge_key=TRADE_KEY)
+    assert {(r.trade_id, r.quantity) for r in lake.read("trades").collect()} == {("1", 5.0), ("2", 1.0)}
+    lake.write(make(spark, trade(9, FEB)), "trades", "timestamp_utc", merge_key=TRADE_KEY)
+    assert lake.read("trades").count() == 3
+    lake.write(make(spark, trade(7, B)), "trades", "timestamp_utc")
+    assert {r.trade_id for r in lake.read("trades").collect()} == {"7", "9"}
+
+
+def test_lake_batches(spark, lake):
+    for batch, i in (("a", 1), ("b", 2), ("a", 1)):
+        lake.write(make(spark, trade(i, B, quantity=float(i))), "trades", "timestamp_utc", batch=batch)
+    r = lake.sql("SELECT COUNT(*), SUM(quantity) FROM trades").first()
+    assert tuple(r) == (2, 3.0)
+    with pytest.raises(ValueError, match="mutually exclusive"):
+        lake.write(make(spark, trade(1, B)), "trades", "timestamp_utc", merge_key=TRADE_KEY, batch="a")
+
+
+def test_bars_of_two_timeframes_in_one_month(spark, lake):
+    t = make(spark, *[trade(i, B + i * 61_000_000) for i in range(12)])
+    for frame in ("1m", "5m", "1m"):
+        lake.write(enriched_bars(t, frame), "bars", "bar_timestamp_utc", merge_key=BAR_KEY)
+    df = lake.read("bars")
+    assert {"realized_vol_1m", "realized_vol_5m"} <= set(df.columns)
+    assert {r.timeframe: r["count"] for r in df.groupBy("timeframe").count().collect()} == {"1m": 12, "5m": 3}
+
+
+def test_time_bounds_prune_months(spark, lake):
+    lake.write(make(spark, trade(1, B), trade(2, FEB)), "trades", "timestamp_utc")
+    df = lake.between("trades", FEB, FEB + DAY)
+    assert [r.trade_id for r in df.collect()] == ["2"]
+    assert len(df.inputFiles()) == 2 and "PartitionFilters: [isnotnull(year" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_and_export(spark, lake, tmp_path):
+    assert "No `trades` dataset found" in quality_report(lake)
+    t = make(spark, trade(1, B), trade(2, B + 3_600_000_000), trade(3, B + 25 * 3_600_000_000))
+    lake.write(t, "trades", "timestamp_utc")
+    lake.write(resample(t, "5m"), "bars", "bar_timestamp_utc", merge_key=BAR_KEY)
+    text = quality_report(lake)
+    assert "# Data Quality Summary" in text and "| binance | BTC-USDT | 3 |" in text and "| binance | BTC-USDT | 5m | 298 |" in text
+    done = export_sample(lake, "binance", "BTC-USDT", datetime(2024, 1, 1, tzinfo=UTC), tmp_path / "out")
+    assert done.row_count == 2 and done.csv_path.name == "binance_BTC-USDT_20240101_24h.csv" and done.parquet_path.exists()
+    assert len(done.csv_path.read_text().splitlines()) == 3 and "year" in done.csv_path.read_text().splitlines()[0]
+    with pytest.raises(ValueError):
+        export_sample(lake, "binance", "BTC-USDT", datetime(2024, 1, 1), tmp_path / "out")
+    assert write_flat(t, tmp_path / "flat" / "t.parquet") == 3
+
+
+# --- streams
+
+
+def test_live_bars_and_volatility(spark, tmp_path):
+    source = tmp_path / "in"
+    t = make(spark, *[trade(i, B + i * 20_000_000, price=100.0 + i) for i in range(10)], trade(0, B, price=999.0), trade(99, B + 3_600_000_000))
+    t.coalesce(1).write.parquet(str(source))
+    stream = spark.readStream.schema(TRADES).parquet(str(source))
+    live = streams.live_bars(streams.distinct_trades(stream), "1m")
+    q = live.writeStream.format("memory").queryName("live").outputMode("append").option("checkpointLocation", str(tmp_path / "c1")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = {r.bar_timestamp_utc: (r.open, r.close, r.trade_count, r.volume_base) for r in spark.table("live").collect()}
+    want = {r.bar_timestamp_utc: (r.open, r.close, r.trade_count, r.volume_base) for r in resample(make(spark, *[trade(i, B + i * 20_000_000, price=100.0 + i) for i in range(10)]), "1m").collect()}
+    assert got == want
+
+    bars_in = tmp_path / "bars"
+    bars = resample(make(spark, *[trade(i, B + i * 60_000_000, price=100.0 * 1.1**i) for i in range(4)]), "1m")
+    bars.coalesce(1).write.parquet(str(bars_in))
+    vol = streams.rolling_volatility(spark.readStream.schema(bars.schema).parquet(str(bars_in)), 2)
+    q = vol.writeStream.format("memory").queryName("vol").outputMode("append").option("checkpointLocation", str(tmp_path / "c2")).start()
+    q.processAllAvailable()
+    q.stop()
+    values = [r.realized_vol for r in spark.table("vol").orderBy("bar_timestamp_utc").collect()]
+    r = 0.09531017980432493
+    assert values[0] is None and values[1] == pytest.approx(r) and values[3] == pytest.approx(r * 2**0.5)
+
+
+def test_stream_into_lake(spark, lake):
+    bars = resample(make(spark, trade(1, B)), "1m")
+    sink = streams.into_lake(lake)
+    sink(bars, 0)
+    sink(bars, 0)
+    assert lake.read("bars").count() == 1
+
+
+# --- command line
+
+
+def test_command_line(spark, tmp_path, capsys):
+    root, out = str(tmp_path / "gold"), tmp_path / "t.parquet"
+    archive = zipped(tmp_path / "a.zip", "1,100,0.1,10,1704067200000,True,True\n2,101,0.2,20,1704067261000,False,True\n")
+    cli.main(["normalize", "binance", "--path", archive, "--symbol", "BTCUSDT", "--out", str(out)])
+    cli.main(["normalize", "binance", "--path", archive, "--symbol", "BTCUSDT", "--root", root])
+    cli.main(["resample", "--path", f"{root}/trades/**/*.parquet", "--timeframe", "1m", "--root", root])
+    cli.main(["resample", "--path", str(out), "--out", str(tmp_path / "b.parquet")])
+    cli.main(["query", "--root", root, "--sql", "SELECT COUNT(*) AS trades_there FROM trades"])
+    cli.main(["report", "--root", root])
+    cli.main(["sample-export", "--root", root, "--exchange", "binance", "--symbol", "BTC-USDT", "--start", "2024-01-01", "--out", str(tmp_path / "s")])
+    said = capsys.readouterr().out
+    for part in ("2 row(s)", "resample: 2 bar(s)", "trades_there", "| binance | BTC-USDT | 2 |", "sample-export: 2 row(s)"):
+        assert part in said
+    with pytest.raises(SystemExit, match="no files matched"):
+        cli.main(["resample", "--path", str(tmp_path / "none*.parquet")])
+    a = cli.parser().parse_args(["kraken", "--pair", "XBTUSD", "--start", "2024-01-01", "--end", "2024-01-02"])
+    assert a.rps == 1.0 and cli._nanos(a.start) == B * 1000
+    assert cli.parser().parse_args(["binance", "--symbol", "X", "--start", "2024-01", "--end", "2024-02"]).market == "spot"
+
+
+def test_session_needs_utc(spark):
+    from tickloom.session import require_utc
+
+    require_utc(spark)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError):
+            require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
