@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +42,17 @@ def shared_folder(spark: SparkSession) -> str:
         folder = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for a session's context, so that it need not be installed there."""
+    context = spark.sparkContext
+    if getattr(context, "_tickloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tickloom-")) / "tickloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tickloom_shipped = True

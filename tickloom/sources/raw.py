@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BOOK_DEPTH, TRADES
+from ..session import ship
 
 #: Market types by the exchanges' names of markets.
 ARCHIVE_MARKETS = {"spot": "spot", "futures/um": "linear_perpetual", "futures/cm": "inverse_perpetual"}
@@ -61,6 +62,7 @@ def zipped_lines(spark: SparkSession, path: str) -> DataFrame:
     Archives are read in parallel, each by one task as a stream of lines; the
     compressed file has to fit in its memory.
     """
+    ship(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(_unzipped, "path string, n long, line string")
 
@@ -116,6 +118,7 @@ def _page_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def page_trades(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
     """Trades of a folder of JSON pages.  A row without id is named by its time, as the page writes it, and place."""
+    ship(spark)
     pages = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder).select("content")
     rows = pages.mapInPandas(_page_rows, "price string, volume string, seconds double, side string, id string")
     price, quantity = F.col("price").try_cast("double"), F.col("volume").try_cast("double")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import from_micros
 from ..schemas import BAR_KEY, SERIES, TIMEFRAMES, TRADE_KEY, width_of
+from ..session import ship
 from ..sources.lake import Lake
 
 
@@ -51,6 +52,8 @@ def rolling_volatility(bars: DataFrame, window_bars: int) -> DataFrame:
     Bars of one series must come in the order of time over the batches.
     """
 
+    ship(bars.sparkSession)
+
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         closes = deque(state.get[0] if state.exists else [], maxlen=window_bars + 1)
         rows = pd.concat(list(frames)).sort_values("bar_timestamp_utc")
