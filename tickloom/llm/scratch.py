@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session; a temporary one where none is set."""
@@ -27,6 +28,7 @@ class Scratch:
     """A folder of intermediate tables that belongs to one run of an operator."""
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
 
