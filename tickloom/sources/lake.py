@@ -14,7 +14,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType
 
 from ..functions.times import from_micros, micros_of, year_and_month
 from ..operators.trades import merge_rows
@@ -50,7 +50,8 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         """A table with its partition keys as columns; bars of different columns side by side."""
         df = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{table}")
-        return df.withColumns({k: F.col(k).cast(IntegerType()) for k in ("year", "month") if k in df.columns})
+        kinds = {"exchange": StringType(), "symbol": StringType(), "year": IntegerType(), "month": IntegerType()}
+        return df.withColumns({k: F.col(k).cast(kind) for k, kind in kinds.items() if k in df.columns})
 
     def between(self, table: str, start_us: int, end_us: int, time: str = "timestamp_utc") -> DataFrame:
         """Rows with start <= time < end.  Bounds on months are added, which prune folders that bounds on time do not."""
@@ -78,39 +79,36 @@ class Lake:
         rows are added in files of that name; the same batch again replaces
         only its own files.  An empty df writes nothing.
         """
-        if df.isEmpty():
-            return 0
         if merge_key and batch:
+            if df.isEmpty():
+                return 0
             raise ValueError("merge_key and batch are mutually exclusive")
         stamp = F.col(time) if dict(df.dtypes)[time].startswith("timestamp") else from_micros(F.col(time))
         keyed = df.drop("year", "month").withColumns(year_and_month(stamp))
         path, staging = f"{self.root}/{table}", f"{self.root}/_staging/{uuid.uuid4().hex}"
         try:
-            if merge_key and self._exists(path):
-                keyed = self._merged(keyed, table, merge_key)
-            # Written apart first: a failed write leaves the table as it was, and a merge does not read what it replaces.
-            self._save(keyed, staging, time)
-            touched = self._partitions(staging)
+            # Written apart first: df is computed once, its folders are known, a failed write leaves the table as it
+            # was, and a merge does not read what it replaces.
+            source = f"{staging}/new"
+            self._save(keyed, source, time)
+            touched = self._partitions(source)
+            there = [f"{path}/{folder}" for folder in touched if merge_key and self._exists(f"{path}/{folder}")]
+            if there:
+                merged = merge_rows(self._rows(path, there), self._rows(source, [source]), merge_key)
+                source = f"{staging}/merged"
+                self._save(merged, source, time)
             for folder in touched:
-                self._publish(f"{staging}/{folder}", f"{path}/{folder}", batch)
+                self._publish(f"{source}/{folder}", f"{path}/{folder}", batch)
         finally:
             fs, p = self._files(staging)
             fs.delete(p, True)
         return len(touched)
 
-    def _merged(self, new: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-        old = self.read(table)
-        old = old.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-        touched = new.select(*LAKE_KEYS).distinct()
-        folders = touched.count()
-        if folders <= 1000:  # a literal filter prunes folders when planning
-            rows = touched.collect()
-            keep = F.struct(*[F.col(k) for k in LAKE_KEYS]).isin(*[F.struct(*[F.lit(v) for v in r]) for r in rows])
-            low, high = min(r.year for r in rows), max(r.year for r in rows)
-            old = old.where((F.col("year") >= low) & (F.col("year") <= high)).where(keep)
-        else:
-            old = old.join(touched, list(LAKE_KEYS), "left_semi")
-        return merge_rows(old, new, key)
+    def _rows(self, base: str, folders: list[str]) -> DataFrame:
+        """Rows of some folders of a table, with keys as they are named in folders."""
+        df = self.spark.read.option("mergeSchema", True).option("basePath", base).parquet(*folders)
+        text = {k: F.col(k).cast("string") for k in LAKE_KEYS}
+        return df.withColumns(text | {"year": F.col("year").cast(IntegerType()), "month": F.lpad(text["month"], 2, "0")})
 
     def _save(self, df: DataFrame, path: str, time: str) -> None:
         order = [*LAKE_KEYS, time, *(c for c in ("trade_id", "percentage", "timeframe") if c in df.columns)]
@@ -118,7 +116,9 @@ class Lake:
 
     def _partitions(self, path: str) -> list[str]:
         fs, p = self._files(path)
-        return sorted({str(s.getPath().getParent().toString()).split(f"{path.rstrip('/').split('/')[-1]}/", 1)[1] for s in _walk(fs, p)})
+        depth = len(LAKE_KEYS)
+        parents = {s.getPath().getParent().toString() for s in _walk(fs, p)}
+        return sorted("/".join(x.split("/")[-depth:]) for x in parents if "=" in x.split("/")[-1])
 
     def _publish(self, source: str, target: str, batch: str | None) -> None:
         """Moves the files of one partition into place."""
