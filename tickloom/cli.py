@@ -97,7 +97,8 @@ def make_bars(a) -> str:
 
 
 def run_sql(a) -> str:
-    Lake(build_session(), a.root).sql(a.sql).show(a.limit, truncate=False)
+    lake = Lake(build_session(), a.root)
+    (lake.sql if a.dialect == "spark" else lake.duckdb_sql)(a.sql).show(a.limit, truncate=False)
     return ""
 
 
@@ -120,7 +121,7 @@ OPTIONS = {
     "market": {"choices": MARKETS, "default": "spot"},
     "execution-market": {"choices": EXECUTION_MARKETS, "default": "linear", "dest": "market"},
     "data-type": {"choices": DATA_TYPES, "default": "trades"},
-    "symbol": {}, "pair": {}, "exchange": {}, "sql": {},
+    "symbol": {}, "pair": {}, "exchange": {}, "sql": {}, "dialect": {"choices": ("duckdb", "spark"), "default": "duckdb"},
     "start-month": {"type": a_month}, "end-month": {"type": a_month},
     "start-day": {"type": a_day}, "end-day": {"type": a_day}, "start-utc": {"type": a_utc_day},
     "rps": {"type": float, "default": 1.0}, "hours": {"type": int, "default": 24}, "limit": {"type": int, "default": 100},
@@ -138,7 +139,7 @@ COMMANDS = {
     "normalize kraken": (normalize_pages, "path! pair! out root"),
     "normalize binance-bookdepth": (normalize_depth, "path! symbol! out root"),
     "resample": (make_bars, "glob! timeframe out root"),
-    "query": (run_sql, "root sql! limit"),
+    "query": (run_sql, "root sql! limit dialect"),
     "report": (make_report, "root out"),
     "sample-export": (make_sample, "root exchange! symbol! start-utc! hours out!"),
 }

@@ -71,6 +71,12 @@ class Lake:
         self.register()
         return self.spark.sql(text, args=parameters or None)
 
+    def duckdb_sql(self, text: str, **parameters) -> DataFrame:
+        """The same for queries written for DuckDB."""
+        from ..plans.dialect import spark_sql
+
+        return self.sql(spark_sql(text), **parameters)
+
     def write(self, df: DataFrame, table: str, time: str, merge_key: Sequence[str] | None = None, batch: str | None = None) -> int:
         """Writes rows and returns the number of partitions touched.
 
