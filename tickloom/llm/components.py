@@ -14,6 +14,13 @@ def _towards(neighbours: DataFrame) -> DataFrame:
     return neighbours.join(least, "a")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every a has one b, and no b is an a: then every b is the root of its component."""
+    if not edges.groupBy("a").count().where("count > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """node and root, the smallest node that it reaches, of every node with an edge.
 
@@ -22,18 +29,15 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     until every node hangs on its root; each round is a table of at most as
     many edges as before.
     """
-    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}0")
-    seen, n = None, 0
-    while True:
-        state = now.select(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen, n = state, n + 1
+    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}0", narrow=True)
+    n = 0
+    while not _are_stars(now):
+        n += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _towards(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         stars = _towards(large)
         small = stars.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(stars.select("a", F.col("m").alias("b")))
-        now = scratch.save(small.where("a <> b").distinct(), f"{label}{n}")
+        now = scratch.save(small.where("a <> b").distinct(), f"{label}{n}", narrow=True)
         if n > 1:
             scratch.drop(f"{label}{n - 2}")
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))

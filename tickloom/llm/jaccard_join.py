@@ -40,7 +40,7 @@ from .signature_tree import bitmaps, folded, linked_pairs, similar_sets, words_f
 from .text import U64, WORD, Words, binary_text, mix64, slices
 
 SHINGLE, PERCENT = 4, 85
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Bytes of a key beside its bucket.  Keys that collide cost a comparison, no result.
 KEY_BYTES = 6
 #: Bits for each element in the bitmaps that meet at keys.
@@ -48,7 +48,9 @@ SKETCH_BITS = 2
 #: The probability, for each document, that it has too few parts to be sure of a key.
 MISS = 1e-15
 #: The largest group that one task joins, in members and in elements of all sets; and a tile of a larger one.
-GROUP_MEMBERS, GROUP_ELEMENTS, TILE = 4000, 8_000_000, 1000
+GROUP_MEMBERS, GROUP_ELEMENTS, TILE = 1000, 4_000_000, 500
+#: Families of more tiles are joined key by key.
+FAMILY_TILES = 64
 
 
 def shingle_sets(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +131,9 @@ def size_classes(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.n
 
 
 def keys(h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets and the row of each."""
+    """Keys of all sets and the row of each; none at 100 percent, where only equal sets are similar."""
+    if percent == 100:
+        return np.zeros(0, U64), np.zeros(0, np.int64)
     lows, parts = size_classes(percent)
     row = np.repeat(np.arange(len(n)), n)
     own, other = (np.searchsorted(lows, size, "right") - 1 for size in (n, -(-n * percent // 100)))
@@ -282,27 +286,38 @@ def with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("digest"))
 
 
-def tiled(rows: DataFrame, key: str, members: int, tile: int) -> DataFrame:
-    """grp and sid: each key's rows as one group, or where they are over ``members``, in groups of two tiles each."""
-    q = F.when(F.count(F.lit(1)) > members, F.ceil(F.count(F.lit(1)) / F.lit(tile))).otherwise(1).cast("int")
-    large = rows.groupBy(key).agg(q.alias("q")).where("q > 1")
-    whole = rows.join(large, key, "left_anti").select(F.col(key).alias("grp"), "sid")
-    parts = (
-        rows.join(large, key).withColumn("mine", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("q")).cast("int"))
+def tiled(rows: DataFrame, key: str, tiles: DataFrame) -> DataFrame:
+    """grp and sid: each key's rows dealt into the q tiles that ``tiles`` has for it, in a group for every two tiles."""
+    return (
+        rows.join(tiles, key).withColumn("mine", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("q")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("q") - 1)))
         .select(F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"), "sid")
     )
-    return whole.unionByName(parts)
 
 
-def _family_groups(families: DataFrame, shared: DataFrame, sizes: DataFrame, scratch: Scratch, members: int, elements: int, tile: int) -> DataFrame:
-    """grp and sid so that every two of a family with a common key meet: whole families, of larger ones each key."""
+def key_groups(shared: DataFrame, members: int, tile: int) -> DataFrame:
+    """grp and sid so that every two identities with a common key meet."""
+    large = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > members)
+    large = large.select("key", F.ceil(F.col("m") / F.lit(tile)).cast("int").alias("q"))
+    whole = shared.join(large, "key", "left_anti").select(F.col("key").alias("grp"), "sid")
+    return whole.unionByName(tiled(shared, "key", large))
+
+
+def family_groups(families: DataFrame, shared: DataFrame, sizes: DataFrame, scratch: Scratch, members: int, elements: int, tile: int, most_tiles: int) -> DataFrame:
+    """grp and sid so that every two of a family with a common key meet.
+
+    Families that fit are groups.  Larger ones are dealt into tiles, which
+    sends a set once for each tile; beyond ``most_tiles`` their keys are the
+    groups, which sends it once for each key.
+    """
     rows = families.join(sizes.select("sid", "n"), families.node == sizes.sid).select("root", "sid", "n")
     totals = rows.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
-    large = scratch.save(totals.where((F.col("m") > members) | (F.col("total") > elements)).select("root"), "large")
-    small = rows.join(large, "root", "left_anti").select(F.col("root").alias("grp"), "sid")
-    inside = rows.join(large, "root", "left_semi").select("sid")
-    return small.unionByName(tiled(shared.join(inside, "sid", "left_semi"), "key", members, tile))
+    q = F.greatest(F.ceil(F.col("m") / F.lit(tile)), F.ceil(F.col("total") * 2 / F.lit(elements)), F.lit(2)).cast("int")
+    large = scratch.save(totals.where((F.col("m") > members) | (F.col("total") > elements)).select("root", q.alias("q")), "large", narrow=True)
+    whole = rows.join(large, "root", "left_anti").select(F.col("root").alias("grp"), "sid")
+    parts = tiled(rows.select("root", "sid"), "root", large.where(F.col("q") <= most_tiles))
+    inside = rows.join(large.where(F.col("q") > most_tiles), "root", "left_semi").select("sid")
+    return whole.unionByName(parts).unionByName(key_groups(shared.join(inside, "sid", "left_semi"), members, tile))
 
 
 def jaccard_components(
@@ -313,6 +328,7 @@ def jaccard_components(
     group_members: int = GROUP_MEMBERS,
     group_elements: int = GROUP_ELEMENTS,
     tile: int = TILE,
+    family_tiles: int = FAMILY_TILES,
 ) -> DataFrame:
     """doc_id, digest (of the text), n_shingles, component_id and root (null where empty) of every row.
 
@@ -328,21 +344,21 @@ def jaccard_components(
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = scratch.save(texts.mapInArrow(lambda b: _documents(b, width), DOCS_DDL), "documents")
     one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n", "sketch")).alias("one")
-    sizes = scratch.save(base.where("n > 0").groupBy("sid").agg(one).select("sid", "one.doc_id", "one.n", "one.sketch"), "sizes")
+    sizes = scratch.save(base.where("n > 0").groupBy("sid").agg(one).select("sid", "one.doc_id", "one.n", "one.sketch"), "sizes", narrow=True)
 
     packed = texts.mapInArrow(lambda b: _packed_keys(b, width, percent, max(1, partitions // 2)), "bucket int, payload binary")
     shared = scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, sid long"), "shared")
     bucket = F.pmod(F.xxhash64("grp"), F.lit(4 * partitions)).cast("int").alias("bucket")
-    met = tiled(shared, "key", group_members, tile).join(sizes, "sid").select("grp", "sid", "n", "sketch", bucket)
-    possible = scratch.save(met.groupBy("bucket").applyInArrow(lambda t: _possible(t, percent), "a long, b long"), "possible")
+    met = key_groups(shared, group_members, tile).join(sizes, "sid").select("grp", "sid", "n", "sketch", bucket)
+    possible = met.groupBy("bucket").applyInArrow(lambda t: _possible(t, percent), "a long, b long")
 
-    families = scratch.save(components(possible, scratch, "possible"), "families")
-    groups = scratch.save(_family_groups(families, shared, sizes, scratch, group_members, group_elements, tile), "groups")
+    families = scratch.save(components(possible, scratch, "possible"), "families", narrow=True)
+    groups = scratch.save(family_groups(families, shared, sizes, scratch, group_members, group_elements, tile, family_tiles), "groups", narrow=True)
     active = groups.select("sid").distinct().join(sizes, "sid").select("sid", "doc_id")
     wanted = texts.alias("d").join(active.alias("a"), F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))).select("a.sid", "d.text")
     sets = wanted.mapInArrow(lambda b: _sets(b, width), "sid long, elements binary")
     gathered = groups.join(sets, "sid").select("grp", "sid", "elements", bucket)
-    links = scratch.save(gathered.groupBy("bucket").applyInArrow(lambda t: _join_groups(t, percent), "a long, b long"), "links")
+    links = gathered.groupBy("bucket").applyInArrow(lambda t: _join_groups(t, percent), "a long, b long")
 
     linked = components(links, scratch, "links")
     reached = linked.join(sizes, linked.node == sizes.sid).select("sid", "root", "doc_id")

@@ -7,7 +7,6 @@ UTF-8 bytes of many texts at once, so no Python code runs per word.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,18 +40,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64 for i up to size."""
-    up = np.full(size + 1, base & (2**64 - 1), U64)
-    up[0] = 1
-    down = np.full(size + 1, pow(base, -1, 2**64), U64)
-    down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(base, 1 << max(16, int(size).bit_length()))
+    """base**i and its inverse modulo 2**64 for i up to size at least.
+
+    Each worker keeps one table for a base, as long as was asked for.
+    """
+    if base not in _POWERS or len(_POWERS[base][0]) <= size:
+        n = max(1 << 16, size + size // 8)
+        up, down = np.full(n + 1, base, U64), np.full(n + 1, pow(base, -1, 2**64), U64)
+        up[0] = down[0] = 1
+        _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _POWERS[base]
 
 
 def binary_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
