@@ -15,10 +15,12 @@ from tickloom.llm.jaccard_join import one_per_group
 from tickloom.llm.mixing import mixed_rows, sized
 from tickloom.llm.packing_sequences import pack_sequences
 from tickloom.llm.scratch import Scratch
+from tickloom.session import ship
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; the raw multinomial is that of docs."""
+    ship(spark)
     model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_rules.judge(docs, model).where("kept").select(*docs.columns)
 
@@ -35,8 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row as often as the mix takes it, up to three times."""
-    sizes = Scratch(spark, "pipeline-mix").save(sized(docs), "sizes")
-    return mixed_rows(docs, sizes)
+    scratch = Scratch(spark, "pipeline-mix")
+    return mixed_rows(docs, scratch.save(sized(docs), "sizes"), scratch)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from math import lcm
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
 from .text import n_words
 
 WEIGHTS = (1, 2, 3)
@@ -106,23 +107,26 @@ def thresholds(sizes: DataFrame, per: DataFrame) -> DataFrame:
     return a.join(b, F.col("a.source").eqNullSafe(F.col("l.source")), "left").select("a.*", F.coalesce("l.limit", F.lit(0)).alias("limit"))
 
 
-def mix_sources(sizes: DataFrame) -> DataFrame:
+def _plan(sizes: DataFrame, scratch: Scratch) -> DataFrame:
+    """The thresholds by source and salt as a table, whose size Spark knows when it plans the join with documents."""
+    return scratch.save(spread(thresholds(sizes, targets(sizes))), "plan")
+
+
+def mix_sources(sizes: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, size, source_size, target, n_copies and taken of every row of ``sized``.
 
     Empty texts and sources without words take part with size 0.  Rows that
     repeat in full share h and are taken together.
     """
-    plan = thresholds(sizes, targets(sizes))
-    joined = sizes.alias("s").join(spread(plan).alias("p"), _meets(F.col("s.source"), F.col("s.h"), "p"), "left")
+    joined = sizes.alias("s").join(_plan(sizes, scratch).alias("p"), _meets(F.col("s.source"), F.col("s.h"), "p"), "left")
     n = (F.col("p.copies") + (F.col("s.h") < F.col("p.limit")).cast("long")).alias("n_copies")
     return joined.select("s.doc_id", "s.source", "s.size", "p.source_size", "p.target", n).withColumn("taken", F.col("size") * F.col("n_copies"))
 
 
-def mixed_rows(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+def mixed_rows(docs: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
-    plan = thresholds(sizes, targets(sizes))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("h", document_hash(F.col("row.doc_id"), F.col("row.text"))).alias("d")
-    joined = rows.join(spread(plan).alias("p"), _meets(F.col("d.row.source"), F.col("d.h"), "p"))
+    joined = rows.join(_plan(sizes, scratch).alias("p"), _meets(F.col("d.row.source"), F.col("d.h"), "p"))
     n = (F.col("p.copies") + (F.col("d.h") < F.col("p.limit")).cast("long")).cast("int")
     return joined.select("d.row.*", n.alias("__n")).where("__n > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import quality_classifier, quality_rules, toxicity
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
@@ -28,6 +29,7 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -80,8 +82,9 @@ FROM verdicts GROUP BY page_id, host, path
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = Scratch(spark, "op4").save(sized(table(spark, sf_dir, "documents")), "sizes")
-    return mix_sources(sizes).select("doc_id", "size", "source_size", "target", "taken")
+    scratch = Scratch(spark, "op4")
+    sizes = scratch.save(sized(table(spark, sf_dir, "documents")), "sizes")
+    return mix_sources(sizes, scratch).select("doc_id", "size", "source_size", "target", "taken")
 
 
 #: sizes, sources and plan of the mix as common table expressions over a table {docs}.
