@@ -24,6 +24,8 @@ from .scratch import Scratch
 
 SPACES = " \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
+#: Blocks are sorted by so many first bytes, then by digest, then whole.
+HEAD_BYTES = 32
 
 
 def normalised(text: Column) -> Column:
@@ -34,9 +36,12 @@ def normalised(text: Column) -> Column:
     return out
 
 
-def _numbered(rows: DataFrame, *keys: str) -> DataFrame:
-    """The rows in the order of keys with a number each; unique, not gapless."""
-    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
+def _numbered(rows: DataFrame, ranges: list[str], *rest: str) -> DataFrame:
+    """The rows in the order of ranges and rest with a number each; unique, not gapless.
+
+    Bounds of ranges are sampled to the driver, so those columns are short.
+    """
+    return rows.repartitionByRange(*ranges).sortWithinPartitions(*ranges, *rest).withColumn("name", F.monotonically_increasing_id())
 
 
 def _whole(named: DataFrame) -> DataFrame:
@@ -67,7 +72,8 @@ def _block_names(base: DataFrame, scratch: Scratch, block_bytes: int, digest: Ca
     )
     counts = blocks.groupBy("h", "block").agg(F.count(F.lit(1)).alias("c"))
     counts = scratch.save(counts.select("h", "c", F.when(F.col("c") > 1, F.col("block")).alias("block")), "counts")
-    names = scratch.save(_numbered(counts.where("c > 1").select("h", "block"), "block"), "names")
+    repeated = counts.where("c > 1").select("h", "block", F.substring("block", 1, HEAD_BYTES).alias("head"))
+    names = scratch.save(_numbered(repeated, ["head", "h"], "block").drop("head"), "names")
     clash = counts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     clash = scratch.save(clash, "clash")
     named = blocks.drop("block").join(names.join(clash, "h", "left_anti").select("h", "name"), "h").select("rid", "n", "i", "name")
@@ -93,7 +99,7 @@ def _identities(base: DataFrame, scratch: Scratch, block_bytes: int, digest: Cal
             .select("rid", "n", "i", F.get("names", F.col("i") * 2).alias("a"), F.coalesce(F.get("names", F.col("i") * 2 + 1), F.lit(-1)).alias("b"))
         )
         names = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b")
-        names = scratch.save(_numbered(names, "a", "b"), f"pairs{level}")
+        names = scratch.save(_numbered(names, ["a", "b"]), f"pairs{level}")
         current = scratch.save(_whole(pairs.join(names, ["a", "b"]).select("rid", "n", "i", "name")), f"level{level}")
     out = done[0]
     for rows in done[1:]:
