@@ -98,6 +98,19 @@ def test_llr_by_brute_force(spark):
         assert model.scores(*binary_text(pa.array([texts[d]], pa.binary())))[0] == pytest.approx(np.mean(ratio))
 
 
+def test_trusted_counts_take_every_label(spark):
+    docs, labels = corpus(spark)
+    docs = docs.unionByName(docs.where("doc_id < 20")).unionByName(docs.limit(9).withColumn("doc_id", F.lit(None).cast("long")))
+    want = quality_rules.fit(docs, labels).ratio
+    assert np.array_equal(quality_rules.fit(docs, labels, sample=10).ratio, want)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert np.array_equal(quality_rules.fit(docs.repartition(5), labels, sample=10).ratio, want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_label_sample(spark):
     rows = [(i % 50, i % 2, None) for i in range(100)] + [(None, 1, 1), (7, None, 1)]
     labels = spark.createDataFrame(rows, LABELS)

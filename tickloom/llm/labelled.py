@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: The most labelled documents that a model is fitted on; all statistics of the corpus cover all documents.
 SAMPLE = 20_000
+#: Places of a label where labels are shuffled.
+SALTS = 8
 
 
 def held_out(doc_id: Column) -> Column:
@@ -14,20 +16,43 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def label_sample(labels: DataFrame, label: str, most: int = SAMPLE, train_only: bool = True) -> DataFrame:
-    """doc_id and label of at most ``most`` labelled documents, those with the smallest hash of doc_id.
+def every_label(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id and label of every labelled document.
 
     Rows without doc_id or label do not count; a document with several labels
-    has the smallest.  Of held-out documents none is taken unless asked for.
+    has the smallest.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
+    return rows.groupBy("doc_id").agg(F.min("label").alias("label"))
+
+
+def label_sample(labels: DataFrame, label: str, most: int = SAMPLE, train_only: bool = True) -> DataFrame:
+    """Of ``every_label`` at most ``most`` rows, those with the smallest hash of doc_id.
+
+    Of held-out documents none is taken unless asked for.
+    """
+    rows = every_label(labels, label)
     if train_only:
         rows = rows.where(~held_out(F.col("doc_id")))
-    rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"))
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def with_labels(docs: DataFrame, sample: DataFrame, how: str = "inner") -> DataFrame:
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+
+
+def with_labels(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """label and text of documents of the sample, which is small by its limit: 12 bytes a row."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    return rows.join(F.broadcast(sample), "doc_id", how).select("label", "text")
+    return _texts(docs).join(F.broadcast(sample), "doc_id").select("label", "text")
+
+
+def with_every_label(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """label and text of documents of any number of labels, one for each doc_id.
+
+    Labels and texts are shuffled whatever their number, so the plan is the
+    same at every size; each label goes to ``SALTS`` places, so that a doc_id
+    of many rows is not one task's.
+    """
+    salted = labels.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    rows = _texts(docs).where("doc_id is not null").withColumn("salt", F.spark_partition_id() % SALTS)
+    return rows.join(salted.hint("merge"), ["doc_id", "salt"]).select("label", "text")
