@@ -92,5 +92,24 @@ def test_packing(spark, group_items):
     assert len(sequences) <= 1.15 * -(-total // 64)
 
 
+def fills(spark, texts, partitions, **options):
+    """How full each sequence is, of texts that are dealt to tasks by their number."""
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, partitions), DOCS)
+    got = pack_sequences(df, WORDS, Scratch(spark, "t"), **options)
+    return sorted(r.n for r in got.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect())
+
+
+def test_packing_fills_the_last_tokens(spark):
+    assert fills(spark, ["alpha " * 62, ""], 2, capacity=64) == [64]
+
+
+def test_packing_leaves_no_two_that_fit(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        got = fills(spark, ["alpha " * rng.choice([rng.randrange(12), rng.randrange(40, 62)]) for _ in range(40)], 40, capacity=64, group_items=4)
+        assert got[0] + got[1] > 64
+
+
 def test_packing_nothing(spark):
     assert pack_sequences(documents(spark, []), WORDS, Scratch(spark, "t")).count() == 0

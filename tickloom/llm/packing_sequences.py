@@ -1,11 +1,13 @@
 """Best-fit packing of documents into sequences, by hierarchical residual packing.
 
 Every task encodes its documents, cuts only those longer than a sequence, and
-packs its pieces by best fit in falling order of length.  Sequences that are
-nearly full are done.  Those with room left are items of their own: they are
-dealt into groups, packed by best fit again, and so on up a tree until one
-group holds what is left.  A round moves two numbers for each sequence with
-room, never texts or ids, and a group is bounded by the number of its items.
+packs its pieces by best fit in falling order of length.  Full sequences are
+done.  Those with room left are items of their own: they are dealt into groups
+and packed by best fit again.  Best fit leaves one sequence at most half full
+in a group, and of two sequences that fit into one, one is at most half full.
+So these go on, with as many of the roomiest others, until one group holds
+them; then no two sequences of all fit into one.  A round moves two numbers for
+each sequence, never texts or ids, and a group is bounded by its items.
 """
 
 from __future__ import annotations
@@ -26,8 +28,6 @@ from .pretokens import CLASSED_BELOW, OTHERS, as_letters, ranges
 from .scratch import Scratch
 
 LENGTH = 2048
-#: A sequence with less room than this is done.
-SLACK = 4
 #: Items that one task packs in a round, and pieces that it packs at once at first.
 GROUP_ITEMS, LOCAL_PIECES = 200_000, 500_000
 #: Pre-tokens whose ids a worker remembers.
@@ -175,9 +175,10 @@ def pack_sequences(docs: DataFrame, path: str, scratch: Scratch, capacity: int =
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     pieces = scratch.save(texts.mapInArrow(lambda b: _packed(b, path, capacity), PIECES_DDL), "pieces")
-    roomy = F.col("fill") <= capacity - SLACK
+    roomy = F.col("fill") < capacity
     # bin: a sequence of the first round; into, base: the one it is part of by now, and where.
     open_ = scratch.save(pieces.where(roomy).select("bin", F.col("bin").alias("into"), F.lit(0).cast("long").alias("base"), "fill").distinct(), "open0")
+    half = F.col("fill") <= capacity // 2
     done, n = [], 0
     while True:
         items = open_.select(F.col("into").alias("item"), "fill").distinct()
@@ -185,18 +186,23 @@ def pack_sequences(docs: DataFrame, path: str, scratch: Scratch, capacity: int =
         if not count:
             break
         n += 1
-        groups = -(-count // group_items)
+        groups = -(-count // max(group_items, 4))  # fewer items a group might not make the groups fewer
         dealt = items.withColumn("grp", F.pmod(F.xxhash64("item", F.lit(n)), F.lit(groups)))
         rounds = dealt.groupBy("grp").applyInArrow(lambda t: _merged(t, capacity), "item long, into long, at long, fill long")
         moved = open_.drop("fill").join(rounds.withColumnRenamed("into", "next"), F.col("into") == F.col("item"))
         moved = scratch.save(moved.select("bin", F.col("next").alias("into"), (F.col("base") + F.col("at")).alias("base"), "fill"), f"open{n}")
-        left = moved.where(roomy)
-        # The last group leaves nothing to merge with; nor does a round that merged hardly any.
-        if groups == 1 or left.select("into").distinct().count() > 0.98 * count:
+        few = moved.where(half).select("into").distinct().count() if groups > 1 else 0
+        if not few:
             done.append(moved)
             break
-        done.append(moved.where(~roomy))
-        open_ = left
+        # If one of few fits into any other sequence, it fits into one of the few roomiest that the rest of them leave.
+        others = moved.where(roomy & ~half).select("fill", "into").distinct().orderBy("fill", "into").limit(few)
+        last = others.agg(F.max(F.struct("fill", "into")).alias("last")).first().last
+        goes_on = half
+        if last is not None:
+            goes_on |= (F.col("fill") < last.fill) | ((F.col("fill") == last.fill) & (F.col("into") <= last.into))
+        done.append(moved.where(~goes_on))
+        open_ = moved.where(goes_on)
     places = scratch.spark.createDataFrame([], "bin long, into long, base long")
     for rows in done:
         places = places.unionByName(rows.select("bin", "into", "base"))
