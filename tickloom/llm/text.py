@@ -7,15 +7,17 @@ UTF-8 bytes of many texts at once, so no Python code runs per word.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
-_BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD1342543DE82EF95 | 1
 
 
@@ -40,20 +42,76 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def rolling(values: np.ndarray, width: int) -> np.ndarray:
+    """Rabin-Karp: the sum of values[i + j] * base**j modulo 2**64 for every run of width values, by doubling."""
+    part, size, out, done = values, 1, None, 0
+    while True:
+        if width & size:
+            n = len(values) - size - done + 1
+            out = part if out is None else part[:n] + U64(pow(_WORD_BASE, size, 2**64)) * out[size : size + n]
+            done += size
+        if 2 * size > width:
+            return out
+        n = len(values) - 2 * size + 1
+        part = part[:n] + U64(pow(_WORD_BASE, size, 2**64)) * part[size : size + n]
+        size *= 2
 
 
-def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64 for i up to size at least.
+def chained(values: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """A hash of every run of width values that mixes after each of them, so that no sequence is a sum of others."""
+    n = len(values) - width + 1
+    out = np.full(n, U64(mix_int(seed + width)))
+    for j in range(width):
+        out = mix64((out ^ values[j : j + n]) * U64(_WORD_BASE))
+    return out
 
-    Each worker keeps one table for a base, as long as was asked for.
-    """
-    if base not in _POWERS or len(_POWERS[base][0]) <= size:
-        n = max(1 << 16, size + size // 8)
-        up, down = np.full(n + 1, base, U64), np.full(n + 1, pow(base, -1, 2**64), U64)
-        up[0] = down[0] = 1
-        _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _POWERS[base]
+
+def mix_int(x: int) -> int:
+    return int(mix64(np.array([x], U64))[0])
+
+
+def strings_of(values: pa.Array) -> list[bytes]:
+    """The strings of a large_binary array without nulls."""
+    data, offsets = binary_text(values)
+    text, cuts = data.tobytes(), offsets.tolist()
+    return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def digests(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit values of each string, the halves of its BLAKE2b."""
+    both = np.frombuffer(b"".join([blake2b(v, digest_size=16).digest() for v in strings_of(values)]), U64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
+
+def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number of each string data[start:end]; equal numbers are equal strings."""
+    sizes = ends - starts
+    cuts = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+    at = np.repeat(starts - cuts[:-1], sizes) + np.arange(cuts[-1])
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(cuts), pa.py_buffer(data[at])])
+    return strings.dictionary_encode().indices.to_numpy()
+
+
+def ranked(*keys: tuple[np.ndarray, int]) -> np.ndarray:
+    """One number for each combination of keys (each with a bound above it); equal numbers are equal combinations."""
+    out, bound = keys[0]
+    out = out.astype(np.int64)
+    for key, size in keys[1:]:
+        if bound * size >= 1 << 62:
+            values, out = np.unique(out, return_inverse=True)
+            bound = len(values)
+        out, bound = out * size + key, bound * size
+    return out
+
+
+def repeated(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys occur more than once, and which of them are not the first such."""
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    several, later = np.zeros(len(key), bool), np.zeros(len(key), bool)
+    several[order] = np.r_[same, False] | np.r_[False, same] if len(key) else False
+    later[order] = np.r_[False, same] if len(key) else False
+    return several, later
 
 
 def binary_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +153,7 @@ class Words:
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
         self.data, self.offsets, self.rows = data, offsets, len(offsets) - 1
-        inside = ~is_space(data) if inside is None else inside
+        self.inside = inside = ~is_space(data) if inside is None else inside
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         ends = inside.copy()
@@ -109,36 +167,58 @@ class Words:
         self.bounds = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.bounds)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit polynomial hash of every word, whitened."""
-        return self.prefix_hashes(())[0]
+    @cached_property
+    def row(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(self.rows), self.counts)
+
+    @cached_property
+    def coded(self) -> pa.DictionaryArray:
+        """The words as numbers, equal where words are equal: told apart by their bytes, not by hashes."""
+        inked = self.data[self.inside]
+        cuts = np.r_[0, np.cumsum(self.ends - self.starts)].astype(np.int64)
+        strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(cuts), pa.py_buffer(inked)])
+        return strings.dictionary_encode()
+
+    @property
+    def codes(self) -> tuple[np.ndarray, int]:
+        """The numbers, and how many there are."""
+        return self.coded.indices.to_numpy(), max(len(self.coded.dictionary), 1)
+
+    @cached_property
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent 64-bit values of every word."""
+        code = self.codes[0]
+        return tuple(d[code] for d in digests(self.coded.dictionary))
+
+    def runs(self, width: int) -> np.ndarray:
+        """First words of all runs of width words within one text."""
+        first = np.arange(max(len(self.starts) - width + 1, 0))
+        return first[self.row[first] == self.row[first + width - 1]]
+
+    def windows(self, width: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, row and first word of every run of width words within one text.
+
+        Seed 0 is the rolling Rabin-Karp hash of the words' digests; others mix
+        after each word.
+        """
+        first = self.runs(width)
+        if not len(first):
+            return np.zeros(0, U64), first, first
+        h = mix64(rolling(self.digests[0], width)) if seed == 0 else chained(self.digests[0], width, seed)
+        return h[first], self.row[first], first
+
+    def sequences(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A number of every run of width words, its row and its first word; equal numbers are equal runs in equal rows."""
+        first = self.runs(width)
+        code, size = self.codes
+        keys = [(code[first + j], size) for j in range(width)]
+        return ranked((self.row[first], max(self.rows, 1)), *keys), self.row[first], first
 
     def prefix_hashes(self, lengths: tuple[int, ...]) -> list[np.ndarray]:
         """Hashes of whole words, then for each length of the first bytes of every word longer than that, else 0."""
-        up, down = powers(_BYTE_BASE, len(self.data))
-        total = np.zeros(len(self.data) + 1, U64)
-        np.cumsum((self.data.astype(U64) + U64(1)) * up[: len(self.data)], out=total[1:])
-        head, back = total[self.starts], down[self.starts]
-        out = [mix64((total[self.ends] - head) * back)]
+        words, code = strings_of(self.coded.dictionary), self.codes[0]
+        out = [np.array([xxh3_64_intdigest(w) for w in words], U64)[code]]
         for n in lengths:
-            stop = np.minimum(self.starts + n, self.ends)
-            out.append(np.where(self.ends - self.starts > n, mix64((total[stop] - head) * back + U64(n)), U64(0)))
+            out.append(np.array([xxh3_64_intdigest(w[:n], n) if len(w) > n else 0 for w in words], U64)[code])
         return out
-
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rabin-Karp hash, row and first word of every run of width words within one text.
-
-        The hash of a window is the polynomial of its words' hashes modulo
-        2**64, taken from running sums, so it costs the same for every width.
-        """
-        words = self.hashes()
-        n = len(words)
-        if n < width:
-            return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        up, down = powers(_WORD_BASE, n)
-        total = np.zeros(n + 1, U64)
-        np.cumsum(words * up[:n], out=total[1:])
-        first = np.arange(n - width + 1)
-        row = np.repeat(np.arange(self.rows), self.counts)
-        first = first[row[first] == row[first + width - 1]]
-        return mix64((total[first + width] - total[first]) * down[first]), row[first], first
