@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 
+#: Places over which the neighbours of a node are dealt in joins, so that the centre of a large star is not one task's.
+SALTS = 8
+
+
 def _towards(neighbours: DataFrame) -> DataFrame:
     """a, b and m: the smallest of a and its neighbours.  The count of a hot node is combined before its shuffle."""
-    least = neighbours.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-    return neighbours.join(least, "a")
+    least = neighbours.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return neighbours.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")).join(least, ["a", "salt"]).drop("salt")
 
 
 def _are_stars(edges: DataFrame) -> bool:
@@ -24,12 +28,12 @@ def _are_stars(edges: DataFrame) -> bool:
 def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """node and root, the smallest node that it reaches, of every node with an edge.
 
-    edges has longs a and b.  Alternates large-star and small-star steps
+    edges has a and b of one type that has an order.  Alternates large-star and small-star steps
     (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014)
     until every node hangs on its root; each round is a table of at most as
     many edges as before.
     """
-    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}0", narrow=True)
+    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}0")
     n = 0
     while not _are_stars(now):
         n += 1
@@ -37,7 +41,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         large = _towards(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         stars = _towards(large)
         small = stars.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(stars.select("a", F.col("m").alias("b")))
-        now = scratch.save(small.where("a <> b").distinct(), f"{label}{n}", narrow=True)
+        now = scratch.save(small.where("a <> b").distinct(), f"{label}{n}")
         if n > 1:
             scratch.drop(f"{label}{n - 2}")
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -3,23 +3,28 @@
 Trees compare the documents of one group; which documents can meet at all is
 settled before, without losing a pair.
 
-1.  A document's set is its distinct shingles, as 64-bit hashes.  Documents of
-    equal sets share an identity and are compared once.
+1.  A document's set is its distinct shingles, each as 128 bits that are made
+    of its words' BLAKE2b.  The BLAKE2b of the sorted set is its identity (124
+    bits); documents of equal identity are compared once.
 2.  Hash space is dealt into parts.  Two sets that are similar enough differ in
     at most D elements, so of the first D + 1 parts that are not empty in one of
     them, one is the same in both.  Those parts are a document's keys.  Parts
     hold about four elements, so a passage that many texts share makes a key
     only where nothing else falls into the part.  The number of parts follows
     from the size class, and a document has keys for its own class and for that
-    of a smaller partner.
+    of a smaller partner.  Should a document have too few parts that are not
+    empty, all keys are made again with more parts.
 3.  Keys travel packed, as rows of raw arrays.  Those that several identities
     have are joined by trees over bitmaps: what is left are the pairs that may
     be similar, as links that connect families.
 4.  Families are joined by trees with exact overlaps of the full sets.
 5.  Links are made into components.
 
-No group has to fit a task: a key or family that is too large is dealt into
-tiles, every two of which meet.
+No group has to fit a task.  A large one is dealt into tiles that are joined
+each for itself, which connects near copies.  Then only members that are not
+yet connected with most of their key meet its other tiles, so a family of m near
+copies costs m rows, and what is compared across tiles is what is still apart.
+Hashes of 64 bits only propose; overlaps are counted on all 128 bits.
 """
 
 from __future__ import annotations
@@ -27,62 +32,86 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import packing
 from .components import components
+from .hot import hot_limit, join_split, partitions, pieces, text_bytes
 from .scratch import Scratch
-from .signature_tree import bitmaps, folded, linked_pairs, similar_sets, words_for
-from .text import U64, WORD, Words, binary_text, mix64, slices
+from .signature_tree import bitmaps, linked_pairs, similar_sets, words_for
+from .text import LAST, U64, WORD, Words, binary_text, chained, keyed, mix64, slices
 
 SHINGLE, PERCENT = 4, 85
 CHUNK_BYTES = 1 << 20
+#: Bytes of text, or of sets, for each bucket of keys or of groups.
+BUCKET_BYTES = 16 << 20
 #: Bytes of a key beside its bucket.  Keys that collide cost a comparison, no result.
 KEY_BYTES = 6
 #: Bits for each element in the bitmaps that meet at keys.
 SKETCH_BITS = 2
-#: The probability, for each document, that it has too few parts to be sure of a key.
+#: The probability, for each document, that it has too few parts to be sure of a key; each further try takes MISS times it.
 MISS = 1e-15
 #: The largest group that one task joins, in members and in elements of all sets; and a tile of a larger one.
 GROUP_MEMBERS, GROUP_ELEMENTS, TILE = 1000, 4_000_000, 500
-#: Families of more tiles are joined key by key.
-FAMILY_TILES = 64
+#: Keys that a set has at one address; sets of more keys have several, so that no address is hot for its length.
+ADDRESS_KEYS = 1000
+SID = "decimal(38,0)"
 
 
 def shingle_sets(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all rows of a batch, one row after the other, and how many each row has.
+    """Sorted distinct shingles of all rows of a batch, one row after the other, and how many each row has.
 
-    A text of fewer words than ``width`` has its whole sequence as its only shingle.
+    A shingle is two uint64.  A text of fewer words than ``width`` has its
+    whole sequence as its only shingle.
     """
     words = Words(*binary_text(batch.column("text")), lower=True)
-    h, row, _ = words.windows(width)
-    short = np.flatnonzero((words.counts > 0) & (words.counts < width))
-    if len(short):
-        each, own = words.hashes(), []
-        for r in short:
-            value = int(words.counts[r])
-            for x in each[words.bounds[r] : words.bounds[r + 1]].tolist():
-                value = (value * 0x9FB21C651E98DF25 + x) % 2**64
-            own.append(value)
-        h, row = np.concatenate([h, mix64(np.array(own, U64))]), np.concatenate([row, short])
+    a, b = words.digests
+    first = words.runs(width)
+    low, high, row = [chained(a, width, 1)[first]] if len(first) else [], [chained(b, width, 2)[first]] if len(first) else [], [words.row[first]]
+    for n in range(1, width):
+        short = np.flatnonzero(words.counts == n)
+        if len(short):
+            at = words.bounds[short]
+            low.append(chained(a, n, 1)[at])
+            high.append(chained(b, n, 2)[at])
+            row.append(short)
+    if not low:
+        return np.zeros((0, 2), U64), np.zeros(words.rows, np.int64)
+    h, high, row = np.concatenate(low), np.concatenate(high), np.concatenate(row)
     order = np.lexsort((h, row))
-    h, row = h[order], row[order]
-    if len(h):
-        new = np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])]
-        h, row = h[new], row[new]
-    return h, np.bincount(row, minlength=words.rows)
+    h, high, row = h[order], high[order], row[order]
+    same = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
+    if (high[1:] != high[:-1])[same].any():
+        order = np.lexsort((high, h, row))
+        h, high, row = h[order], high[order], row[order]
+        same = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
+    new = np.r_[True, ~same | (high[1:] != high[:-1])]
+    return np.stack([h[new], high[new]], 1), np.bincount(row[new], minlength=words.rows)
 
 
 def identities(h: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """A value that tells sets apart, from the sum of their mixed elements; 0 where empty."""
-    total = np.r_[np.zeros(1, U64), np.cumsum(mix64(h ^ U64(0xA0761D6478BD642F)))]
-    ends = np.cumsum(n)
-    value = mix64((total[ends] - total[ends - n]) + n.astype(U64) * U64(0xE7037ED1A0B428DB)) | U64(1)
-    return np.where(n > 0, value, U64(0)).view(np.int64)
+    """124 bits, as two uint64, that tell sets apart; zeros where empty."""
+    ends, data = np.cumsum(n) * 16, np.ascontiguousarray(h).tobytes()
+    found = [blake2b(data[e - 16 * k : e], digest_size=16).digest() if k else bytes(16) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+    out = np.frombuffer(b"".join(found), U64).reshape(-1, 2).copy()
+    out[:, 1] &= U64((1 << 60) - 1)
+    return out
+
+
+def _decimals(values: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(values), [None, pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+
+
+def _numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, list]:
+    """Decimals as numbers from 0 in their order, and the decimals."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    found = column.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
 
 
 def difference(n, percent: int):
@@ -104,13 +133,13 @@ def _log_chance(parts: int, most: int, n: int) -> float:
     return math.lgamma(parts + 1) - math.lgamma(most + 1) - math.lgamma(parts - most + 1) + n * math.log(most / parts)
 
 
-@lru_cache(maxsize=4)
-def size_classes(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=8)
+def size_classes(percent: int, miss: float = MISS, largest: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
     """The smallest size of each class and its number of parts; 0 parts: every element is one.
 
     A class spans sizes that may be similar, so a partner is of the same class
     or the next.  It has as few parts as leave every document with one part
-    more than it may differ in, but for a chance of MISS.
+    more than it may differ in, but for a chance of ``miss``.
     """
     lows, parts = [1], []
     while lows[-1] < largest:
@@ -121,7 +150,7 @@ def size_classes(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.n
         few, many = 1, low
         while few < many:
             middle = (few + many) // 2
-            if all(_log_chance(middle, most, n) <= math.log(MISS) for n, most in checks):
+            if all(_log_chance(middle, most, n) <= math.log(miss) for n, most in checks):
                 many = middle
             else:
                 few = middle + 1
@@ -130,11 +159,15 @@ def size_classes(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.n
     return np.array(lows), np.array(parts)
 
 
-def keys(h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets and the row of each; none at 100 percent, where only equal sets are similar."""
+def keys(h: np.ndarray, n: np.ndarray, percent: int, miss: float = MISS) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Keys of all sets (of 64-bit elements) and the row of each, and whether some set has too few parts to be sure of one.
+
+    None at 100 percent, where only equal sets are similar.
+    """
     if percent == 100:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    lows, parts = size_classes(percent)
+        return np.zeros(0, U64), np.zeros(0, np.int64), False
+    lows, parts = size_classes(percent, miss)
+    short = False
     row = np.repeat(np.arange(len(n)), n)
     own, other = (np.searchsorted(lows, size, "right") - 1 for size in (n, -(-n * percent // 100)))
     out_key, out_row = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
@@ -152,172 +185,244 @@ def keys(h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.nda
         begins = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (part[1:] != part[:-1])])
         value = mix64(np.add.reduceat(mix64(e ^ U64(0x8EBC6AF09C88C6E3)), begins) + (part[begins] + U64(1)) * U64(0x589965CC75374CC3) + salt[begins] * U64(0x1D8E4E27C47D124F))
         r = r[begins]
+        short |= bool(((np.bincount(r, minlength=len(n)) <= most) & (parts[which] > 0))[wanted].any())  # all elements as parts suffice
         first = np.arange(len(r)) - np.searchsorted(r, r) <= most[r]
         out_key.append(value[first])
         out_row.append(r[first])
-    return np.concatenate(out_key), np.concatenate(out_row)
+    return np.concatenate(out_key), np.concatenate(out_row), short
 
 
-_DOCS = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary())])
-DOCS_DDL = "doc_id long, digest long, n long, sid long, sketch binary"
+_ROWS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sid", pa.decimal128(38, 0)), ("sketch", pa.binary()), ("addresses", pa.list_(pa.int64())), ("bucket", pa.int32()), ("payload", pa.binary())])
+ROWS_DDL = f"doc_id long, key long, digest long, n long, sid {SID}, sketch binary, addresses array<long>, bucket int, payload binary"
+#: The bucket of a row that says that a set had too few parts.
+SHORT = -1
 
 
-def _documents(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, CHUNK_BYTES):
-        h, n = shingle_sets(batch, width)
-        sketches = bitmaps(h, n, words_for(n, SKETCH_BITS))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("digest"), pa.array(n, pa.int64()), pa.array(identities(h, n)), pa.array([s.tobytes() for s in sketches], pa.binary())], schema=_DOCS)
+def _addresses(sid: np.ndarray, most_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the keys of each set are sent from: one address for every ADDRESS_KEYS; and how many each set has."""
+    each = most_keys // ADDRESS_KEYS + 1
+    which = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    return mix64(np.repeat(sid[:, 0], each) + which.astype(U64) * U64(0x9E3779B97F4A7C15)), each
 
 
-def _packed_keys(batches: Iterator[pa.RecordBatch], width: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _documents(batches: Iterator[pa.RecordBatch], width: int, percent: int, miss: float, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row for each document, and the keys of a chunk as a row for each bucket."""
     for batch in slices(batches, CHUNK_BYTES):
-        h, n = shingle_sets(batch, width)
-        sid = identities(h, n)
+        both, n = shingle_sets(batch, width)
+        h, sid = np.ascontiguousarray(both[:, 0]), identities(both, n)
+        sketches = bitmaps(h, n, words_for(n, SKETCH_BITS))
+        address, each = _addresses(sid, 2 * difference(n, percent) + 2)
+        cuts = np.r_[0, np.cumsum(each)]
+        own = [*(batch.column(c) for c in ("doc_id", "key", "digest")), pa.array(n, pa.int64()), _decimals(sid), pa.array([s.tobytes() for s in sketches], pa.binary())]
+        own += [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(address.view(np.int64))), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
+        yield pa.RecordBatch.from_arrays(own, schema=_ROWS)
         once = np.zeros(len(n), bool)
-        once[np.unique(sid, return_index=True)[1]] = True  # copies within a chunk count once
+        once[np.unique(sid, axis=0, return_index=True)[1]] = True  # copies within a chunk count once
         once &= n > 0
-        h, n, sid = h[np.repeat(once, n)], n[once], sid[once]
-        key, row = keys(h, n, percent)
-        if not len(key):
-            continue
-        order = np.argsort(row, kind="stable")
-        rest, by, cuts = packing.dealt(key[order], buckets)
-        row = row[order]
-        rows = []
-        for b, i, j in cuts:
-            per = np.bincount(row[by[i:j]], minlength=len(n))
-            there = np.flatnonzero(per)
-            rows.append((b, packing.join(packing.short(rest[by[i:j]], KEY_BYTES), sid[there].tobytes(), packing.planes(per[there].astype(np.uint32)))))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "payload"])
+        key, row, short = keys(h[np.repeat(once, n)], n[once], percent, miss)
+        rows = [(SHORT, b"")] if short else []
+        if len(key):
+            order = np.argsort(row, kind="stable")
+            row = row[order]
+            at = cuts[np.flatnonzero(once)[row]] + (np.arange(len(row)) - np.searchsorted(row, row)) // ADDRESS_KEYS
+            rest, by, deals = packing.dealt(key[order], buckets)
+            for b, i, j in deals:
+                there, per = np.unique(at[by[i:j]], return_counts=True)
+                rows.append((b, packing.join(packing.short(rest[by[i:j]], KEY_BYTES), address[there].tobytes(), packing.planes(per.astype(np.uint32)))))
+        if rows:
+            none = [pa.nulls(len(rows), f.type) for f in list(_ROWS)[:7]]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=_ROWS)
 
 
-_SHARED = pa.schema([("key", pa.int64()), ("sid", pa.int64())])
+_SHARED = pa.schema([("key", pa.int64()), ("address", pa.int64())])
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """key and identity, of keys that several identities have."""
+    """key and address, of keys that several addresses have."""
     parts = [packing.split(p) for p in table.column("payload").to_pylist()]
     key = np.concatenate([packing.from_short(p[0], KEY_BYTES) for p in parts])
-    sid = np.concatenate([np.repeat(np.frombuffer(p[1], np.int64), packing.from_planes(p[2], np.uint32)) for p in parts])
+    address = np.concatenate([np.repeat(np.frombuffer(p[1], np.int64), packing.from_planes(p[2], np.uint32)) for p in parts])
     order = np.argsort(key)
     again = key[order][1:] == key[order][:-1]
     order = order[np.r_[again, False] | np.r_[False, again]]
-    key, sid = key[order], sid[order]
-    order = np.lexsort((sid, key))
-    key, sid = key[order], sid[order]
+    key, address = key[order], address[order]
+    order = np.lexsort((address, key))
+    key, address = key[order], address[order]
     if len(key):
-        new = np.r_[True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])]
-        key, sid = key[new], sid[new]
+        new = np.r_[True, (key[1:] != key[:-1]) | (address[1:] != address[:-1])]
+        key, address = key[new], address[new]
         begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         each = np.diff(np.r_[begins, len(key)])
         several = np.repeat(each > 1, each)
-        key, sid = key[several], sid[several]
+        key, address = key[several], address[several]
     bucket = table.column("bucket")[0].as_py()
-    return pa.Table.from_arrays([pa.array(mix64(key * U64(0x9E3779B97F4A7C15) + U64(bucket)).view(np.int64)), pa.array(sid)], schema=_SHARED)
+    return pa.Table.from_arrays([pa.array(mix64(key * U64(0x9E3779B97F4A7C15) + U64(bucket)).view(np.int64)), pa.array(address)], schema=_SHARED)
 
 
-_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_LINKS = pa.schema([("a", pa.decimal128(38, 0)), ("b", pa.decimal128(38, 0))])
+LINKS_DDL = f"a {SID}, b {SID}"
 
 
-def _links(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_LINKS)
+def _links(pairs: list[tuple[int, int]], sids: pa.Array) -> pa.Table:
+    pairs = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
+    return pa.Table.from_arrays([sids.take(pa.array(pairs[:, 0])), sids.take(pa.array(pairs[:, 1]))], schema=_LINKS)
 
 
-def _by_group(group: np.ndarray, sid: np.ndarray) -> list[np.ndarray]:
-    """The rows of each group, in the order of sid, without repeats."""
-    order = np.lexsort((sid, group))
-    g, s = group[order], sid[order]
+def _by_group(group: np.ndarray, member: np.ndarray) -> list[np.ndarray]:
+    """The rows of each group of two members or more, in the order of member, without repeats."""
+    order = np.lexsort((member, group))
+    g, s = group[order], member[order]
     order = order[np.r_[True, (g[1:] != g[:-1]) | (s[1:] != s[:-1])]]
     g = group[order]
-    return np.split(order, np.flatnonzero(g[1:] != g[:-1]) + 1)
-
-
-def _possible(table: pa.Table, percent: int) -> pa.Table:
-    """Links of pairs with a common key that may be similar by their bitmaps."""
-    sid, n = table.column("sid").to_numpy(), table.column("n").to_numpy()
-    sketch = [np.frombuffer(s, U64) for s in table.column("sketch").to_pylist()]
-    groups = [g for g in _by_group(table.column("grp").to_numpy(), sid) if len(g) > 1]
-    # Most keys have two identities, and near copies have many such keys in common.
-    pairs = np.array([g for g in groups if len(g) == 2], np.int64).reshape(-1, 2)
-    out = []
-    if len(pairs):
-        _, once = np.unique(sid[pairs], axis=0, return_index=True)
-        pairs = pairs[once]
-        small, large = np.minimum(n[pairs[:, 0]], n[pairs[:, 1]]), np.maximum(n[pairs[:, 0]], n[pairs[:, 1]])
-        for x, y in pairs[100 * small >= percent * large]:
-            words = min(len(sketch[x]), len(sketch[y]))
-            a, b = folded(sketch[x], words), folded(sketch[y], words)
-            excess = min(n[x] - np.bitwise_count(a).sum(dtype=np.int64), n[y] - np.bitwise_count(b).sum(dtype=np.int64))
-            if (100 + percent) * (np.bitwise_count(a & b).sum(dtype=np.int64) + excess) >= percent * (n[x] + n[y]):
-                out.append((sid[x], sid[y]))
-    seen = set()
-    for own in groups:
-        members = sid[own].tobytes()
-        if len(own) > 2 and members not in seen:
-            seen.add(members)
-            out += [(sid[own[x]], sid[own[y]]) for x, y in linked_pairs(n[own], [sketch[k] for k in own], percent)]
-    out = np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
-    return _links(out[:, 0], out[:, 1])
+    return [x for x in np.split(order, np.flatnonzero(g[1:] != g[:-1]) + 1) if len(x) > 1]
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """The sets of texts whose identity is the expected one; one doc_id may have other texts too."""
-    for batch in slices(batches, CHUNK_BYTES):
-        h, n = shingle_sets(batch, width)
-        ends = np.cumsum(n)
-        right = np.flatnonzero(identities(h, n) == batch.column("sid").to_numpy(zero_copy_only=False))
-        yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(right)), pa.array([h[ends[r] - n[r] : ends[r]].tobytes() for r in right], pa.binary())], ["sid", "elements"])
+def _own_labels(label: np.ndarray) -> np.ndarray:
+    """Labels of the members of a group as numbers below their count."""
+    return np.unique(label, return_inverse=True)[1]
 
 
-def _join_groups(table: pa.Table, percent: int) -> pa.Table:
-    """Links of similar sets within each group."""
-    sid = table.column("sid").to_numpy()
-    elements = table.column("elements").combine_chunks()
-    out = []
-    for own in _by_group(table.column("grp").to_numpy(), sid):
-        sets = [np.frombuffer(elements[int(k)].as_buffer(), U64) for k in own]
-        out += [(sid[own[x]], sid[own[y]]) for x, y in similar_sets(sets, percent)]
-    out = np.array(out, np.int64).reshape(-1, 2)
-    return _links(out[:, 0], out[:, 1])
-
+def _joined(table: pa.Table, percent: int, exact: bool) -> pa.Table:
+    """Links within each group, by signature trees: of similar sets, or of those that may be by their bitmaps.
 
-def with_digest(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("digest"))
-
-
-def tiled(rows: DataFrame, key: str, tiles: DataFrame) -> DataFrame:
-    """grp and sid: each key's rows dealt into the q tiles that ``tiles`` has for it, in a group for every two tiles."""
-    return (
-        rows.join(tiles, key).withColumn("mine", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("q")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("q") - 1)))
-        .select(F.xxhash64(key, F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"), "sid")
-    )
+    Groups of equal members are joined once.  Members of equal label are
+    connected already.
+    """
+    sid, sids = _numbers(table.column("sid"))
+    label = _numbers(table.column("label"))[0]
+    content = table.column("content").combine_chunks()
+    n = table.column("n").to_numpy()
+    out, seen = [], set()
+    for own in _by_group(table.column("grp").to_numpy(), sid):
+        members = sid[own].tobytes()
+        if members in seen:
+            continue
+        seen.add(members)
+        sets = [np.frombuffer(content[int(k)].as_buffer(), U64) for k in own]
+        if exact:
+            found = similar_sets([s.reshape(-1, 2) for s in sets], percent, _own_labels(label[own]))
+        else:
+            found = linked_pairs(n[own], sets, percent, label=_own_labels(label[own]))
+        out += [(sid[own[x]], sid[own[y]]) for x, y in found]
+    return _links(out, sids)
 
 
-def key_groups(shared: DataFrame, members: int, tile: int) -> DataFrame:
-    """grp and sid so that every two identities with a common key meet."""
-    large = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > members)
-    large = large.select("key", F.ceil(F.col("m") / F.lit(tile)).cast("int").alias("q"))
-    whole = shared.join(large, "key", "left_anti").select(F.col("key").alias("grp"), "sid")
-    return whole.unionByName(tiled(shared, "key", large))
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The sets of texts whose identity is the expected one, once for a slice."""
+    for batch in slices(batches, CHUNK_BYTES):
+        h, n = shingle_sets(batch, width)
+        found = _decimals(identities(h, n))
+        ends = np.cumsum(n)
+        right, seen = [], set()
+        for r, (x, y) in enumerate(zip(found.to_pylist(), batch.column("sid").to_pylist(), strict=True)):
+            if x == y and x not in seen:
+                seen.add(x)
+                right.append(r)
+        yield pa.RecordBatch.from_arrays([found.take(pa.array(right, pa.int64())), pa.array([h[ends[r] - n[r] : ends[r]].tobytes() for r in right], pa.binary())], ["sid", "content"])
 
 
-def family_groups(families: DataFrame, shared: DataFrame, sizes: DataFrame, scratch: Scratch, members: int, elements: int, tile: int, most_tiles: int) -> DataFrame:
-    """grp and sid so that every two of a family with a common key meet.
+def cross_groups(rows: DataFrame, members: int, elements: int, tile: int, limit: int) -> DataFrame:
+    """grp, sid, n and label so that of every key any two members of different label meet.
 
-    Families that fit are groups.  Larger ones are dealt into tiles, which
-    sends a set once for each tile; beyond ``most_tiles`` their keys are the
-    groups, which sends it once for each key.
+    rows: key, sid, n and label, as a table.  Keys all of whose members have one
+    label are done.  A key that fits is a group.  Of others the members of the
+    commonest label are dealt into tiles, and the rest are sent to each tile.
     """
-    rows = families.join(sizes.select("sid", "n"), families.node == sizes.sid).select("root", "sid", "n")
-    totals = rows.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
-    q = F.greatest(F.ceil(F.col("m") / F.lit(tile)), F.ceil(F.col("total") * 2 / F.lit(elements)), F.lit(2)).cast("int")
-    large = scratch.save(totals.where((F.col("m") > members) | (F.col("total") > elements)).select("root", q.alias("q")), "large", narrow=True)
-    whole = rows.join(large, "root", "left_anti").select(F.col("root").alias("grp"), "sid")
-    parts = tiled(rows.select("root", "sid"), "root", large.where(F.col("q") <= most_tiles))
-    inside = rows.join(large.where(F.col("q") > most_tiles), "root", "left_semi").select("sid")
-    return whole.unionByName(parts).unionByName(key_groups(shared.join(inside, "sid", "left_semi"), members, tile))
+    per = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    per = per.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.sum("m").alias("m"), F.sum("total").alias("total"), F.max(F.struct("m", "label")).alias("main"))
+    fits = (F.col("m") <= members) & (F.col("total") <= elements)
+    q = F.greatest(F.ceil(F.col("m") / F.lit(tile)), F.ceil(F.col("total") * 2 / F.lit(elements)))
+    per = per.where("labels > 1").select("key", "m", F.col("main.label").alias("main"), F.when(fits, F.lit(1)).otherwise(q).cast("int").alias("q"))
+    joined = join_split(rows, per, ["key"], "m", limit)
+    tiles = F.when(F.col("label") == F.col("main"), F.array(_tile("sid", "q"))).otherwise(F.sequence(F.lit(0), F.col("q") - 1))
+    return joined.withColumn("tile", F.explode(tiles)).select(F.xxhash64("key", "tile").alias("grp"), "sid", "n", "label")
+
+
+def _tile(member: str, q: str) -> Column:
+    return F.pmod(F.xxhash64(member, F.lit(1)), F.col(q)).cast("int")
+
+
+class _Join:
+    """What the steps of one join have in common."""
+
+    def __init__(self, scratch: Scratch, percent: int, width: int, total: int, members: int, elements: int, tile: int):
+        self.scratch, self.percent, self.width, self.total = scratch, percent, width, total
+        self.members, self.elements, self.tile = members, elements, tile
+
+    def keys(self, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The documents with their sets' identities, and the shared keys with the addresses of their sets."""
+        width, percent, buckets, miss, attempt = self.width, self.percent, pieces(self.total, BUCKET_BYTES), MISS, 0
+        while True:
+            rows = texts.mapInArrow(lambda b, m=miss: _documents(b, width, percent, m, buckets), ROWS_DDL)
+            rows = self.scratch.save(rows, f"documents{attempt}")
+            if rows.where(F.col("bucket") == SHORT).isEmpty():
+                break
+            attempt, miss = attempt + 1, miss * MISS
+        base = rows.where("bucket is null").drop("bucket", "payload")
+        packed = rows.where("bucket is not null").select("bucket", "payload").repartition(partitions(self.total, BUCKET_BYTES), "bucket")
+        return base, self.scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, address long"), "shared")
+
+    def links(self, groups: DataFrame, exact: bool, weight: int) -> DataFrame:
+        """Links within groups (grp, sid, n, label, content), which have about ``weight`` bytes."""
+        buckets, percent = pieces(weight, BUCKET_BYTES), self.percent
+        dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)).cast("int"))
+        return dealt.repartition(partitions(weight, BUCKET_BYTES), "bucket").groupBy("bucket").applyInArrow(lambda t: _joined(t, percent, exact), LINKS_DDL)
+
+    def possible(self, shared: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Links that connect any two sets with a common key that may be similar by their bitmaps."""
+        n_rows = shared.count()
+        limit = hot_limit(n_rows)
+        addressed = sizes.select(F.explode("addresses").alias("address"), "sid", "n", F.col("sketch").alias("content"))
+        counts = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > self.members)
+        large = self.scratch.save(counts.withColumn("q", F.ceil(F.col("m") / F.lit(self.tile)).cast("int")), "large-keys")
+        whole = shared.join(large.select("key"), "key", "left_anti").select(F.col("key").alias("grp"), "address")
+        tiles = join_split(shared, large, ["key"], "m", limit).select(F.xxhash64("key", _tile("address", "q")).alias("grp"), "address")
+        met = whole.unionByName(tiles).join(addressed, "address").select("grp", "sid", "n", F.col("sid").alias("label"), "content")
+        links = self.links(met, False, n_rows * 256)
+        if large.isEmpty():
+            return links
+        links = self.scratch.save(links, "possible-tiles")
+        hot = shared.join(large.select("key"), "key", "left_semi").join(addressed.drop("content"), "address").select("key", "sid", "n").distinct()
+        groups = self.across(hot, components(links, self.scratch, "tiles"), "possible")
+        content = groups.join(sizes.select("sid", F.col("sketch").alias("content")), "sid")
+        return links.unionByName(self.links(content, False, groups.count() * 256))
+
+    def across(self, rows: DataFrame, linked: DataFrame, name: str) -> DataFrame:
+        """``cross_groups`` of rows (key, sid, n), labelled by the components that links made so far."""
+        roots = linked.select(F.col("node").alias("sid"), "root")
+        rows = self.scratch.save(rows.join(roots, "sid", "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("label")), f"{name}-labelled")
+        return self.scratch.save(cross_groups(rows, self.members, self.elements, self.tile, hot_limit(rows.count())), f"{name}-across")
+
+    def exact(self, groups: DataFrame, texts: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
+        """Links of similar sets within groups (grp, sid, n, label), a table."""
+        active = groups.select("sid").distinct().join(sizes, "sid").select("sid", "key", "digest", "n")
+        active = self.scratch.save(active, f"{name}-active")
+        once, every = (16 * int(df.agg(F.sum("n")).first()[0] or 0) for df in (active, groups))
+        width, parts, on = self.width, partitions(self.total), ["key", "digest"]
+        wanted = texts.repartition(parts, *on).join(active.select("sid", *on).repartition(parts, *on), on).select("sid", "text")
+        parts = partitions(once, BUCKET_BYTES)
+        sets = wanted.mapInArrow(lambda b: _sets(b, width), f"sid {SID}, content binary").repartition(parts, "sid").dropDuplicates(["sid"])
+        return self.links(groups.repartition(parts, "sid").join(sets, "sid"), True, every)
+
+    def similar(self, families: DataFrame, shared: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Links that connect any two similar sets of a family."""
+        rows = families.join(sizes.select("sid", "n"), families.node == sizes.sid).select(F.col("root").alias("key"), "sid", "n")
+        rows = self.scratch.save(rows, "members")
+        totals = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).where((F.col("m") > self.members) | (F.col("total") > self.elements))
+        q = F.greatest(F.ceil(F.col("m") / F.lit(self.tile)), F.ceil(F.col("total") * 2 / F.lit(self.elements)), F.lit(2)).cast("int")
+        large = self.scratch.save(totals.select("key", "m", q.alias("q")), "large-families")
+        whole = rows.join(large.select("key"), "key", "left_anti").withColumn("q", F.lit(1))
+        inside = join_split(rows, large, ["key"], "m", hot_limit(rows.count()))
+        tiles = whole.unionByName(inside.drop("m")).select(F.xxhash64("key", _tile("sid", "q")).alias("grp"), "sid", "n", F.col("sid").alias("label"))
+        links = self.exact(self.scratch.save(tiles, "groups"), texts, sizes, "groups")
+        if large.isEmpty():
+            return links
+        links = self.scratch.save(links, "links-tiles")
+        members = inside.select("sid").distinct()
+        addressed = sizes.select(F.explode("addresses").alias("address"), "sid", "n").join(members, "sid", "left_semi")
+        common = shared.join(addressed, "address").select("key", "sid", "n").distinct()
+        groups = self.across(common, components(links, self.scratch, "links-tiles"), "links")
+        return links.unionByName(self.exact(groups, texts, sizes, "across"))
 
 
 def jaccard_components(
@@ -328,61 +433,52 @@ def jaccard_components(
     group_members: int = GROUP_MEMBERS,
     group_elements: int = GROUP_ELEMENTS,
     tile: int = TILE,
-    family_tiles: int = FAMILY_TILES,
 ) -> DataFrame:
-    """doc_id, digest (of the text), n_shingles, component_id and root (null where empty) of every row.
+    """doc_id, key, digest (of the text), n_shingles, component_id and root (null where empty) of every row.
 
     Texts are lower-cased in A-Z.  Two documents link when 100 * overlap >=
     percent * union of their sets of ``width``-word shingles; component_id is
-    the smallest doc_id reachable by links.  Documents without words link with
-    nothing and are their own component.  A null doc_id is nobody's smallest
-    unless the whole component has none.  Sets are told apart by 64 bits.
+    the smallest doc_id reachable by links.  Documents without words (null and
+    empty texts among them) link with nothing and are their own component.  A
+    null doc_id is nobody's smallest unless the whole component has none.  Rows
+    that repeat, and rows that share a doc_id, each count with their own text.
+    Of docs only doc_id and text are read.  An empty table gives an empty result.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    texts = with_digest(docs)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = scratch.save(texts.mapInArrow(lambda b: _documents(b, width), DOCS_DDL), "documents")
-    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n", "sketch")).alias("one")
-    sizes = scratch.save(base.where("n > 0").groupBy("sid").agg(one).select("sid", "one.doc_id", "one.n", "one.sketch"), "sizes", narrow=True)
-
-    packed = texts.mapInArrow(lambda b: _packed_keys(b, width, percent, max(1, partitions // 2)), "bucket int, payload binary")
-    shared = scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, sid long"), "shared")
-    bucket = F.pmod(F.xxhash64("grp"), F.lit(4 * partitions)).cast("int").alias("bucket")
-    met = key_groups(shared, group_members, tile).join(sizes, "sid").select("grp", "sid", "n", "sketch", bucket)
-    possible = met.groupBy("bucket").applyInArrow(lambda t: _possible(t, percent), "a long, b long")
-
-    families = scratch.save(components(possible, scratch, "possible"), "families", narrow=True)
-    groups = scratch.save(family_groups(families, shared, sizes, scratch, group_members, group_elements, tile, family_tiles), "groups", narrow=True)
-    active = groups.select("sid").distinct().join(sizes, "sid").select("sid", "doc_id")
-    wanted = texts.alias("d").join(active.alias("a"), F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))).select("a.sid", "d.text")
-    sets = wanted.mapInArrow(lambda b: _sets(b, width), "sid long, elements binary")
-    gathered = groups.join(sets, "sid").select("grp", "sid", "elements", bucket)
-    links = gathered.groupBy("bucket").applyInArrow(lambda t: _join_groups(t, percent), "a long, b long")
-
-    linked = components(links, scratch, "links")
-    reached = linked.join(sizes, linked.node == sizes.sid).select("sid", "root", "doc_id")
-    least = reached.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    smallest = sizes.select("sid", "doc_id").join(reached.select("sid", "root").join(least, "root"), "sid", "left")
-    smallest = smallest.select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    found = base.join(smallest, "sid", "left")
-    return found.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root")
+    texts = keyed(docs)
+    join = _Join(scratch, percent, width, text_bytes(docs), group_members, group_elements, tile)
+    base, shared = join.keys(texts)
+    one = F.min(F.struct("key", "digest", "n", "sketch", "addresses")).alias("one")
+    sizes = scratch.save(base.where("n > 0").groupBy("sid").agg(one).select("sid", "one.*"), "sizes")
+    families = scratch.save(components(join.possible(shared, sizes), scratch, "possible"), "families")
+    linked = components(join.similar(families, shared, texts, sizes), scratch, "links")
+
+    reached = linked.join(sizes, linked.node == sizes.sid).select("sid", "root", F.col("key").alias("least"))
+    least = reached.groupBy("root").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("m"))
+    smallest = sizes.select("sid", F.col("key").alias("own")).join(reached.select("sid", "root").join(least, "root"), "sid", "left")
+    copies = base.where("n > 0").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"))
+    smallest = smallest.join(copies, "sid").select("sid", F.coalesce("root", "sid").alias("root"), F.coalesce("least", "own").alias("least"), "copies")
+    rows = base.select("doc_id", "key", "digest", F.col("n").alias("n_shingles"), "sid")
+    found = join_split(rows.where("n_shingles > 0"), scratch.save(smallest, "smallest"), ["sid"], "copies", hot_limit(base.count()))
+    component = F.when(F.col("least") != int(LAST), F.col("least")).otherwise(F.col("doc_id"))
+    empty = rows.where("n_shingles = 0").select("doc_id", "key", "digest", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast(SID).alias("root"))
+    return found.select("doc_id", "key", "digest", "n_shingles", component.alias("component_id"), "root").unionByName(empty)
 
 
 def one_per_group(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """The rows of docs without those that a row of their component stands for.
 
     Of each component the row with the smallest doc_id (null last) stays, of
-    rows that repeat in full one, and every row without words.
+    rows that repeat in doc_id and text one, and every row without words.
+    Columns of any name pass through.
     """
     found = jaccard_components(docs, scratch, **options)
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best")
-    stays = scratch.save(found.where("root is not null").groupBy("root").agg(best).select("best.doc_id", "best.digest"), "stays")
-    text = F.coalesce(F.col("row.text"), F.lit(""))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("digest", F.xxhash64(text))
-    # Equal texts are of one component, so a digest stays at most once.
-    joined = rows.join(stays.select("digest", "doc_id", F.lit(True).alias("met")), "digest", "left")
-    empty = ~text.rlike(WORD)
-    first = F.row_number().over(Window.partitionBy("digest").orderBy(F.lit(1)))
-    kept = joined.where(empty | (F.col("met") & F.col("row.doc_id").eqNullSafe(F.col("doc_id")))).withColumn("first", first)
-    return kept.where(empty | (F.col("first") == 1)).select("row.*")
+    best = F.min(F.struct("key", "digest")).alias("best")
+    stays = scratch.save(found.where("root is not null").groupBy("root").agg(best).select("best.*"), "stays")
+    text, doc_id = F.coalesce(F.col("row.text"), F.lit("")), F.col("row.doc_id").cast("long")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.coalesce(doc_id, F.lit(int(LAST))).alias("key"), F.xxhash64(text).alias("digest"), (~text.rlike(WORD)).alias("empty"))
+    # Copies of other doc_ids go where they are or spread over tasks; rows that repeat in full are combined before their shuffle.
+    kept = rows.where("not empty").join(stays, ["key", "digest"], "left_semi").groupBy("key", "digest").agg(F.first("row").alias("row"))
+    return kept.select("row").unionByName(rows.where("empty").select("row")).select("row.*")

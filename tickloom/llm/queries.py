@@ -127,7 +127,25 @@ OP4_SQL = "WITH " + MIX_CTES.replace("{docs}", "documents") + "SELECT doc_id, si
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup(docs, with_text=False).drop("kept_text")
+    return substring_dedup(docs, with_text=False, scratch=Scratch(spark, "op5")).drop("kept_text")
+
+
+OP5_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT rid, doc_id, i, array_to_string(words[i : i + 12], ' ') AS sequence
+  FROM (SELECT rid, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts)),
+firsts AS (SELECT sequence, min(doc_id) AS least FROM windows GROUP BY sequence),
+marked AS (SELECT rid, i FROM windows JOIN firsts USING (sequence) WHERE least < coalesce(doc_id, 9223372036854775807)),
+gone AS (SELECT DISTINCT rid, i + j AS i FROM marked, range(0, 13) AS t(j)),
+every AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS rest
+  FROM every ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)
+"""
 
 
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,11 +174,58 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, Scratch(spark, "op9")).select("doc_id", "n_shingles", "component_id")
 
 
+OP9_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT rid, doc_id,
+         CASE WHEN len(words) = 0 THEN []
+              WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))) END AS shingles
+  FROM texts),
+ids AS (SELECT rid, doc_id, len(shingles) AS n, CASE WHEN len(shingles) > 0 THEN sha256(array_to_string(list_sort(shingles), chr(10))) END AS sid, shingles FROM sets),
+elements AS (SELECT sid, n, unnest(shingles) AS shingle FROM (SELECT sid, any_value(n) AS n, any_value(shingles) AS shingles FROM ids WHERE sid IS NOT NULL GROUP BY sid)),
+links AS (
+  SELECT a.sid AS a, b.sid AS b
+  FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.sid <> b.sid AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.sid, b.sid, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (SELECT DISTINCT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a),
+groups AS (SELECT node, other FROM reached UNION SELECT sid, sid FROM ids WHERE sid IS NOT NULL),
+least_ids AS (SELECT g.node, min(i.doc_id) AS component_id FROM groups g JOIN ids i ON i.sid = g.other GROUP BY g.node)
+SELECT i.doc_id, CAST(i.n AS BIGINT) AS n_shingles, coalesce(l.component_id, i.doc_id) AS component_id
+FROM ids i LEFT JOIN least_ids l ON l.node = i.sid
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")), with_text=False)
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``op10_quality_rules`` says without its model, for which there is SQL."""
+    return op10_quality_rules(spark, sf_dir).drop("llr", "kept")
+
+
+BASE_COUNTS_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM texts),
+repeats AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+windows AS (SELECT rid, i, array_to_string(words[i : i + 2], ' ') AS sequence FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM texts)),
+often AS (SELECT rid, sequence FROM windows GROUP BY rid, sequence HAVING count(*) > 1),
+covered AS (SELECT rid, count(DISTINCT i + j) AS n FROM windows JOIN often USING (rid, sequence), range(0, 3) AS t(j) GROUP BY rid),
+counts AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN repeats r USING (rid) LEFT JOIN covered c USING (rid))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
@@ -172,5 +237,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "quality_base_counts": quality_base_counts,
 }
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mix_sources": OP4_SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mix_sources": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op9_jaccard_join": OP9_SQL, "quality_base_counts": BASE_COUNTS_SQL}

@@ -1,27 +1,17 @@
 """Intermediate tables on the storage that all executors share.
 
 Lineage is cut by writing a Parquet table and reading it again, so a lost
-executor costs a re-read rather than a recomputation.  The folder is the one
-named by ``spark.checkpoint.dir``; only where that setting is absent (local
-tests) is a temporary folder chosen.
+executor costs a re-read rather than a recomputation.  The folder is that of
+``session.shared_folder``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ship
-
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from ..session import shared_folder, ship
 
 
 class Scratch:
@@ -32,15 +22,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str, codec: str = "zstd", narrow: bool = False) -> DataFrame:
-        """Write ``df`` and return the table that was written.
-
-        narrow: its rows are few and short against the shuffle before it, so
-        an eighth of the files will do where Spark itself does not join them.
-        """
+    def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+        """Write ``df`` and return the table that was written."""
         path = f"{self.root}/{name}"
-        if narrow:
-            df = df.coalesce(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8))
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

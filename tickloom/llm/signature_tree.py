@@ -59,13 +59,14 @@ def _tree(sizes: np.ndarray, excess: np.ndarray, masks: np.ndarray) -> _Node:
     return level[0]
 
 
-def linked_pairs(sizes: np.ndarray, masks: list[np.ndarray], percent: int, overlap: Callable[[int, int], int] | None = None) -> list[tuple[int, int]]:
+def linked_pairs(sizes: np.ndarray, masks: list[np.ndarray], percent: int, overlap: Callable[[int, int], int] | None = None, label: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect sets just as all pairs with 100 * overlap >= percent * union would.
 
     sizes and bitmaps of the sets; overlap gives the exact overlap of two of
     them.  Without it pairs link that by their bitmaps may be that similar.
     Pairs that links found so far connect already are not compared, so a family
-    of near copies costs one comparison or so for each member.
+    of near copies costs one comparison or so for each member.  ``label``, a
+    number below the number of sets, tells which are connected from before.
     """
     if len(sizes) < 2:
         return []
@@ -75,7 +76,7 @@ def linked_pairs(sizes: np.ndarray, masks: list[np.ndarray], percent: int, overl
     order = np.lexsort((masks[:, 0], np.log(sizes) // np.log(1.2)))
     sizes, masks = sizes[order], masks[order]
     excess = sizes - np.bitwise_count(masks).sum(axis=1)  # elements that share a bit with another
-    label = np.arange(len(sizes))
+    label = np.arange(len(sizes)) if label is None else np.asarray(label)[order]
     links: list[tuple[int, int]] = []
 
     def too_small(a: _Node, b: _Node) -> bool:
@@ -122,9 +123,19 @@ def linked_pairs(sizes: np.ndarray, masks: list[np.ndarray], percent: int, overl
     return links
 
 
-def similar_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """linked_pairs of sets given as sorted distinct uint64 values, none empty."""
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements of 128 bits, rows of two, two sorted sets have in common."""
+    _, i, j = np.intersect1d(a[:, 0], b[:, 0], assume_unique=True, return_indices=True)
+    both = int((a[i, 1] == b[j, 1]).sum())
+    if both == len(i) and not (a[1:, 0] == a[:-1, 0]).any() and not (b[1:, 0] == b[:-1, 0]).any():
+        return both
+    return len({*map(tuple, a.tolist())} & {*map(tuple, b.tolist())})  # halves of different elements are equal
+
+
+def similar_sets(sets: list[np.ndarray], percent: int, label: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """linked_pairs of sets given as sorted distinct elements of two uint64 each (or of one), none empty."""
+    sets = [s if s.ndim == 2 else np.stack([s, np.zeros_like(s)], 1) for s in sets]
     sizes = np.array([len(s) for s in sets])
     words = np.minimum(words_for(np.full(len(sets), sizes.max(initial=1)), BITS_PER_ELEMENT), MOST_WORDS)
-    masks = bitmaps(np.concatenate(sets), sizes, words) if sets else []
-    return linked_pairs(sizes, masks, percent, lambda x, y: len(np.intersect1d(sets[x], sets[y], assume_unique=True)))
+    masks = bitmaps(np.concatenate([s[:, 0] for s in sets]), sizes, words) if sets else []
+    return linked_pairs(sizes, masks, percent, lambda x, y: common(sets[x], sets[y]), label)

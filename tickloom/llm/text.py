@@ -12,11 +12,13 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 WORD = r"[^\x20\x09-\x0D]+"
+WORD_BREAK = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 U64 = np.uint64
 _WORD_BASE = 0xD1342543DE82EF95 | 1
 
@@ -31,6 +33,16 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+LAST = np.iinfo(np.int64).max  # stands for a null doc_id, which is the largest
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and key and digest, which tell rows of different texts apart; a null doc_id has the largest key."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), text.alias("text"), F.coalesce(doc_id, F.lit(int(LAST))).alias("key"), F.xxhash64(text).alias("digest"))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit over all bits."""
     x = x.astype(U64, copy=True)
