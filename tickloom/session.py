@@ -36,9 +36,15 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """A folder that driver and executors share: that of spark.checkpoint.dir.
+
+    A temporary one only where that is unset and all run on one machine; on a
+    cluster its absence is an error, since executors would not see the files.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
