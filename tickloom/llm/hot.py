@@ -21,6 +21,12 @@ def partitions(total: int | None, each: int = TASK_BYTES) -> int:
     return min(pieces(total, each), MOST_PARTITIONS)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as the session has cores, where its files make fewer; a large input stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts."""
     return int(docs.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)

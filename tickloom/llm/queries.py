@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from . import quality_classifier, quality_rules, toxicity
 from .exact_dedup import exact_dedup
+from .hot import spread
 from .jaccard_join import jaccard_components
 from .labelled import held_out
 from .mixing import mix_sources, sized
@@ -33,16 +34,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and text of all documents."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     counted = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), n_tokens(F.col("text"), public_tokenizers.path("byte_bpe_50k.json")).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return exact_dedup(docs, Scratch(spark, "op2")).select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -126,7 +132,7 @@ OP4_SQL = "WITH " + MIX_CTES.replace("{docs}", "documents") + "SELECT doc_id, si
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return substring_dedup(docs, with_text=False, scratch=Scratch(spark, "op5")).drop("kept_text")
 
 
@@ -151,26 +157,26 @@ FROM texts LEFT JOIN kept USING (rid)
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "op6"))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
     scored = quality_classifier.score(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), Scratch(spark, "op8"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return jaccard_components(docs, Scratch(spark, "op9")).select("doc_id", "n_shingles", "component_id")
 
 
@@ -200,7 +206,7 @@ FROM ids i LEFT JOIN least_ids l ON l.node = i.sid
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")), with_text=False)
 
 
