@@ -110,13 +110,19 @@ def test_names():
     assert names.monthly_key("spot", "BTCUSDT", 2024, 1) == "data/spot/monthly/trades/BTCUSDT/BTCUSDT-trades-2024-01.zip"
     assert names.daily_key("futures/um", "BTCUSDT", date(2024, 1, 2), "bookDepth") == "data/futures/um/daily/bookDepth/BTCUSDT/BTCUSDT-bookDepth-2024-01-02.zip"
     assert names.executions_url("BTCUSD", date(2024, 1, 2)).endswith("/BTCUSD/BTCUSD2024-01-02.csv.gz")
-    assert names.Archive("a/b.zip").filename == "b.zip"
+    assert names.digest_address("a/b.zip") == names.address("a/b.zip") + ".CHECKSUM" == names.ARCHIVE_URL + "/a/b.zip.CHECKSUM"
 
 
 def test_listing_follows_markers():
     page = '<R xmlns="http://s3.amazonaws.com/doc/2006-03-01/"><IsTruncated>{}</IsTruncated>{}</R>'
     answers = {None: page.format("true", "<Contents><Key>a.zip</Key></Contents><Contents><Key>a.zip.CHECKSUM</Key></Contents>"), "a.zip.CHECKSUM": page.format("false", "<Contents><Key>b.zip</Key></Contents>")}
-    assert [a.key for a in names.list_archives("p", lambda url, q: answers[q.get("marker")])] == ["a.zip", "b.zip"]
+
+    class Listing:
+        async def text(self, url, query):
+            assert url == names.LISTING_URL and query["prefix"] == "data/spot/monthly/trades/BTCUSDT/"
+            return answers[query.get("marker")]
+
+    assert asyncio.run(download.discover(Listing(), "spot", "BTCUSDT")) == ["a.zip", "b.zip"]
 
 
 class Server:
@@ -233,6 +239,61 @@ def test_lake_batches(spark, lake):
         lake.write(make(spark, trade(1, B)), "trades", "timestamp_utc", merge_key=TRADE_KEY, batch="a")
 
 
+def test_a_batch_leaves_others_alone(spark, lake):
+    for batch, i in (("jan-2", 1), ("jan", 2), ("jan-00001", 3), ("jan", 4), ("jan", 5)):
+        lake.write(make(spark, trade(i, B)), "trades", "timestamp_utc", batch=batch)
+    assert {r.trade_id for r in lake.read("trades").collect()} == {"1", "3", "5"}
+    for name in ("a/b", "", "../x"):
+        with pytest.raises(ValueError):
+            lake.write(make(spark, trade(1, B)), "trades", "timestamp_utc", batch=name) if name else lake.write(make(spark, trade(1, B)), "trades", "timestamp_utc", batch="/")
+
+
+class Faulty:
+    """A file system that refuses moves, or ends the process after some."""
+
+    def __init__(self, fs, refuse_after=None, die_after=None):
+        self.fs, self.moves, self.refuse_after, self.die_after = fs, 0, refuse_after, die_after
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+    def rename(self, a, b):
+        if self.moves == self.refuse_after:
+            return False
+        if self.moves == self.die_after:
+            raise KeyboardInterrupt
+        self.moves += 1
+        return self.fs.rename(a, b)
+
+
+@pytest.mark.parametrize("fault", [{"refuse_after": 0}, {"die_after": 0}, {"refuse_after": 1}, {"die_after": 1}])
+@pytest.mark.parametrize("mode", [{}, {"merge_key": TRADE_KEY}, {"batch": "x"}])
+def test_no_row_is_lost_where_a_move_fails(spark, lake, monkeypatch, fault, mode):
+    lake.write(make(spark, trade(1, B), trade(2, FEB)), "trades", "timestamp_utc", **mode)
+    own, fs = lake._files, None
+
+    def faulty(path):
+        nonlocal fs
+        found, p = own(path)
+        fs = fs or Faulty(found, **fault)
+        return fs, p
+
+    monkeypatch.setattr(lake, "_files", faulty)
+    with pytest.raises((OSError, KeyboardInterrupt)):
+        lake.write(make(spark, trade(1, B), trade(2, FEB)), "trades", "timestamp_utc", **mode)
+    monkeypatch.setattr(lake, "_files", own)
+    assert {r.trade_id for r in lake.read("trades").collect()} == {"1", "2"}
+    lake.write(make(spark, trade(1, B), trade(2, FEB)), "trades", "timestamp_utc", **mode)
+    assert sorted(r.trade_id for r in lake.read("trades").collect()) == ["1", "2"]
+
+
+def test_schema_is_kept(spark, lake):
+    lake.write(make(spark, trade(1, B)), "trades", "timestamp_utc")
+    lake.write(make(spark, trade(2, FEB)).withColumn("note", F.lit("x")), "trades", "timestamp_utc")
+    assert {(r.trade_id, r.note) for r in lake.read("trades").collect()} == {("1", None), ("2", "x")}
+    assert lake.tables() == ["trades"] and dict(lake.read("trades").dtypes)["month"] == "int"
+
+
 def test_bars_of_two_timeframes_in_one_month(spark, lake):
     t = make(spark, *[trade(i, B + i * 61_000_000) for i in range(12)])
     for frame in ("1m", "5m", "1m"):

@@ -125,7 +125,7 @@ OPTIONS = {
     "start-month": {"type": a_month}, "end-month": {"type": a_month},
     "start-day": {"type": a_day}, "end-day": {"type": a_day}, "start-utc": {"type": a_utc_day},
     "rps": {"type": float, "default": 1.0}, "hours": {"type": int, "default": 24}, "limit": {"type": int, "default": 100},
-    "path": {"type": Path}, "glob": {}, "out": {"type": Path}, "root": {"type": Path, "default": GOLD},
+    "path": {}, "glob": {}, "out": {"type": Path}, "root": {"default": str(GOLD)},
     "timeframe": {"choices": tuple(TIMEFRAMES), "default": "1m"},
 }
 FLAGS = {"execution-market": "market", "start-month": "start", "end-month": "end", "start-day": "start", "end-day": "end", "start-utc": "start", "glob": "path"}

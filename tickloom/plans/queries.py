@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.symbols import unified_symbol
 from ..functions.times import from_micros, to_micros, year_and_month
 from ..operators import asof, bars, book, features, quality, trades
-from ..schemas import TRADE_KEY, TRADES
+from ..schemas import TRADE_KEY, TRADES, in_order
 from ..session import shared_folder
 from ..sources.lake import Lake
+from .dialect import spark_sql
 from .enrich import enriched_bars
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,13 +351,13 @@ def liquidity_dry_ups(spark, sf_dir):
 
 
 def depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Depth out of order lines: one row for each order and percentage."""
+    """Depth out of order lines; percentages repeat in orders of more than five lines."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     levels = F.element_at(F.array(*[F.lit(p) for p in (-2, -1, 1, 2, 3)]), (F.col("l_linenumber") % 5 + 1).cast("int"))
-    return lines.where("l_linenumber <= 5").select(F.lit("binance").alias("exchange"), F.lit("BTC-USDT").alias("symbol"), F.col("l_orderkey").cast("long").alias("timestamp_utc"), levels.cast("long").alias("percentage"), F.col("l_quantity").alias("depth"), F.col("l_extendedprice").alias("notional"))
+    return lines.select(F.lit("binance").alias("exchange"), F.lit("BTC-USDT").alias("symbol"), F.col("l_orderkey").cast("long").alias("timestamp_utc"), levels.cast("long").alias("percentage"), F.col("l_quantity").alias("depth"), F.col("l_extendedprice").alias("notional"))
 
 
-PIVOT = """WITH depth AS (SELECT 'binance' AS exchange, 'BTC-USDT' AS symbol, CAST(l_orderkey AS BIGINT) AS timestamp_utc, [-2, -1, 1, 2, 3][l_linenumber % 5 + 1] AS percentage, l_extendedprice AS notional FROM lineitem WHERE l_linenumber <= 5)
+PIVOT = """WITH depth AS (SELECT 'binance' AS exchange, 'BTC-USDT' AS symbol, CAST(l_orderkey AS BIGINT) AS timestamp_utc, [-2, -1, 1, 2, 3][l_linenumber % 5 + 1] AS percentage, l_extendedprice AS notional FROM lineitem)
 SELECT exchange, symbol, timestamp_utc, max(notional) FILTER (percentage = -1) AS bid_depth_usd_1pct, max(notional) FILTER (percentage = 1) AS ask_depth_usd_1pct,
   max(notional) FILTER (percentage = -2) AS bid_depth_usd_2pct, max(notional) FILTER (percentage = 2) AS ask_depth_usd_2pct FROM depth GROUP BY ALL"""
 
@@ -421,6 +422,49 @@ def lake_round_trip(spark, sf_dir):
     return ticks_lake(spark, sf_dir).read("trades")
 
 
+LAKE_ROWS = "*, CAST(year(make_timestamp(timestamp_utc)) AS INTEGER) AS year, CAST(month(make_timestamp(timestamp_utc)) AS INTEGER) AS month"
+
+
+def new_lake(spark: SparkSession) -> Lake:
+    import uuid
+
+    return Lake(spark, f"{shared_folder(spark)}/tickloom/lake-{uuid.uuid4().hex}")
+
+
+@query(f"""WITH {TICKS}, m AS (SELECT DISTINCT exchange, strftime(make_timestamp(timestamp_utc), '%Y-%m') AS month FROM ticks WHERE CAST(trade_id AS BIGINT) % 2 = 1)
+SELECT {LAKE_ROWS} FROM ticks WHERE CAST(trade_id AS BIGINT) % 2 = 1 OR (exchange, strftime(make_timestamp(timestamp_utc), '%Y-%m')) NOT IN (SELECT exchange, month FROM m)""")
+def lake_overwrite(spark, sf_dir):
+    """Touched partitions hold the rows of the second write only."""
+    lake, t = new_lake(spark), ticks(spark, sf_dir)
+    lake.write(t, "trades", "timestamp_utc")
+    lake.write(t.where(F.col("trade_id").cast("long") % 2 == 1), "trades", "timestamp_utc")
+    return lake.read("trades")
+
+
+@query(f"""WITH {TICKS} SELECT {LAKE_ROWS} FROM ticks WHERE CAST(trade_id AS BIGINT) % 4 <> 0""")
+def lake_batches(spark, sf_dir):
+    """Batches of names that begin alike, one of them written again."""
+    lake, t, n = new_lake(spark), ticks(spark, sf_dir), F.col("trade_id").cast("long") % 4
+    for batch, rest in (("jan", 0), ("jan-2", 1), ("jan-2-00000", 2), ("jan", 3)):
+        lake.write(t.where(n == rest), "trades", "timestamp_utc", batch=batch)
+    return lake.read("trades")
+
+
+@query(f"""WITH {TICKS} SELECT * FROM ticks ORDER BY exchange, symbol, timestamp_utc, trade_id""")
+def sorted_trades(spark, sf_dir):
+    return in_order(ticks(spark, sf_dir))
+
+
+DUCKDB_PROFILE = "SELECT exchange, quantile(price, 0.5) AS median, array_length(list(trade_id)) AS n, time_bucket(INTERVAL '1 hour', make_timestamp(timestamp_utc)) AS hour FROM ticks GROUP BY ALL"
+
+
+@query(f"WITH {TICKS} " + DUCKDB_PROFILE.replace("array_length(list(trade_id))", "CAST(count(*) AS INTEGER)"))
+def sql_dialect(spark, sf_dir):
+    """A query in DuckDB's own functions, run by Spark."""
+    ticks(spark, sf_dir).createOrReplaceTempView("tickloom_ticks")
+    return spark.sql(spark_sql(DUCKDB_PROFILE.replace("FROM ticks", "FROM tickloom_ticks")))
+
+
 @query(f"""WITH {TICKS} SELECT exchange, symbol, CAST(count(*) AS BIGINT) AS n, sum(quantity) AS quantity FROM ticks GROUP BY exchange, symbol""")
 def lake_sql_totals(spark, sf_dir):
     return ticks_lake(spark, sf_dir).sql("SELECT exchange, symbol, COUNT(*) AS n, SUM(quantity) AS quantity FROM trades GROUP BY exchange, symbol")

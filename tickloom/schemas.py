@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 
@@ -27,10 +28,18 @@ BAR_KEY = ("exchange", "symbol", "timeframe", "bar_timestamp_utc")
 DEPTH_KEY = ("exchange", "symbol", "timestamp_utc", "percentage")
 LAKE_KEYS = ("exchange", "symbol", "year", "month")
 
+#: The order of rows at the edge, in flat files and reports: of trades, bars, gaps and books, by the columns they have.
+ORDER = ("exchange", "symbol", "timeframe", "timestamp_utc", "bar_timestamp_utc", "missing_bar_utc", "trade_id", "percentage")
+
 #: Width of a bar in microseconds.
 TIMEFRAMES = {"1s": 1_000_000, "1m": 60_000_000, "5m": 300_000_000}
 
 
+def in_order(df: DataFrame) -> DataFrame:
+    """Rows in their table's canonical order; for output, since Spark keeps no order between operators."""
+    return df.orderBy(*[c for c in ORDER if c in df.columns])
+
+
 def width_of(timeframe: str) -> int:
     if timeframe not in TIMEFRAMES:
         raise ValueError(f"unsupported timeframe {timeframe!r}; known: {', '.join(TIMEFRAMES)}")

@@ -171,10 +171,9 @@ async def harvest(loader: Downloader, keys: list[str], root: Path, verify: bool
     """Archives by key, in folders like their keys without ``data/``, checked against published digests."""
 
     async def one(key: str) -> Path | None:
-        archive = names.Archive(key)
         try:
-            sidecar = await loader.text(archive.checksum_url) if verify else None
-            done = await loader.fetch(archive.url, root / key.removeprefix("data/"), names.checksum_in(sidecar) if sidecar else None)
+            sidecar = await loader.text(names.digest_address(key)) if verify else None
+            done = await loader.fetch(names.address(key), root / key.removeprefix("data/"), names.checksum_in(sidecar) if sidecar else None)
         except Exception as e:  # one missing month must not stop the others
             log.error("not harvested: %s: %s", key, e)
             return None
@@ -191,6 +190,16 @@ async def harvest_daily(loader: Downloader, market: str, symbol: str, start: dat
     return await harvest(loader, [names.daily_key(market, symbol, d, data_type) for d in names.days(start, end)], root, verify)
 
 
+async def discover(loader: Downloader, market: str, symbol: str, data_type: str = "trades", period: str = "monthly") -> list[str]:
+    """Keys of all published archives of a symbol, over as many listing pages as there are."""
+    folder, after, found = names.prefix(period, market, symbol, data_type), None, []
+    while True:
+        keys, after = names.listed(await loader.text(names.LISTING_URL, names.listing_query(folder, after)))
+        found += keys
+        if after is None:
+            return found
+
+
 async def fetch_executions(loader: Downloader, symbol: str, start: date, end: date, root: Path) -> list[Path]:
     """Daily execution files, which have no published digests."""
     items = [(names.executions_url(symbol, d), root / symbol / f"{symbol}{d:%Y-%m-%d}.csv.gz", None) for d in names.days(start, end)]

@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame
 
+from ..schemas import in_order
 from .lake import Lake, in_hours
 
 
@@ -19,7 +20,9 @@ class SampleExport:
 
 
 def _one_file(df: DataFrame, path: Path, kind: str, **options) -> None:
-    """Writes one file by way of a folder beside it, of rows that fit one task."""
+    """Writes one file by way of a folder beside it, of rows that fit one task, where the driver sees what executors write."""
+    if not df.sparkSession.sparkContext.master.startswith("local"):
+        raise RuntimeError("single files are written to the driver's disk: use a local session, or Lake.write on a cluster")
     folder = path.with_name(f".{path.name}.tmp")
     df.coalesce(1).write.mode("overwrite").format(kind).options(**options).save(folder.absolute().as_uri())
     part = next(p for p in folder.iterdir() if p.name.startswith("part-"))
@@ -30,9 +33,9 @@ def _one_file(df: DataFrame, path: Path, kind: str, **options) -> None:
 
 
 def write_flat(df: DataFrame, path: Path) -> int:
-    """One zstd Parquet file, for small extracts on the driver's disk; the number of rows."""
+    """One zstd Parquet file, in canonical order, for small extracts on the driver's disk; the number of rows."""
     path.parent.mkdir(parents=True, exist_ok=True)
-    _one_file(df, path, "parquet", compression="zstd")
+    _one_file(in_order(df), path, "parquet", compression="zstd")
     return df.sparkSession.read.parquet(path.absolute().as_uri()).count()
 
 

@@ -7,6 +7,7 @@ as many tasks as its share of the rows asks for.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Sequence
@@ -14,12 +15,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.times import from_micros, micros_of, year_and_month
 from ..operators.trades import merge_rows
 from ..schemas import LAKE_KEYS
 
+#: Columns that folders name.
+FOLDERS = [StructField(k, IntegerType() if k in ("year", "month") else StringType()) for k in LAKE_KEYS]
 ROWS_PER_FILE = 50_000_000
 WRITE_OPTIONS = {"compression": "zstd", "parquet.block.size": str(256 << 20), "maxRecordsPerFile": str(ROWS_PER_FILE)}
 
@@ -48,10 +51,45 @@ class Lake:
         return sorted(n for n in names if not n.startswith(("_", ".")))
 
     def read(self, table: str) -> DataFrame:
-        """A table with its partition keys as columns; bars of different columns side by side."""
+        """A table with its partition keys as columns; bars of different columns side by side.
+
+        The columns are those of the schema that ``write`` keeps beside the
+        data; footers are read for them only where there is none.
+        """
+        schema = self._schema(table)
+        if schema is not None:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         df = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{table}")
-        kinds = {"exchange": StringType(), "symbol": StringType(), "year": IntegerType(), "month": IntegerType()}
-        return df.withColumns({k: F.col(k).cast(kind) for k, kind in kinds.items() if k in df.columns})
+        return df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in FOLDERS if f.name in df.columns})
+
+    def _schema(self, table: str) -> StructType | None:
+        fs, p = self._files(f"{self.root}/_schemas/{table}.json")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            text = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def _keep_schema(self, table: str, df: DataFrame) -> None:
+        """Adds the columns of df to those kept; the folders' keys come last."""
+        before = self._schema(table)
+        if before is None and self._exists(f"{self.root}/{table}"):
+            before = self.read(table).schema
+        keys = [f.name for f in FOLDERS]
+        fields = {f.name: f for f in [*df.schema.fields, *(before or [])] if f.name not in keys}
+        order = [*(f.name for f in before or []), *df.columns]
+        schema = StructType([*(StructField(n, fields[n].dataType) for n in dict.fromkeys(order) if n in fields), *FOLDERS])
+        if schema == before:
+            return
+        fs, p = self._files(f"{self.root}/_schemas/{table}.json")
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(json.dumps(schema.jsonValue()).encode()))
+        finally:
+            stream.close()
 
     def between(self, table: str, start_us: int, end_us: int, time: str = "timestamp_utc") -> DataFrame:
         """Rows with start <= time < end.  Bounds on months are added, which prune folders that bounds on time do not."""
@@ -84,7 +122,14 @@ class Lake:
         of touched partitions stay unless a new row has their key.  With batch,
         rows are added in files of that name; the same batch again replaces
         only its own files.  An empty df writes nothing.
+
+        New files are moved in under names of their own, each move is checked,
+        and what they replace is deleted last.  Where a move fails the table is
+        as it was; where the process ends in between, old and new rows lie side
+        by side until the same write is run again, and none is lost.
         """
+        if batch is not None and not re.fullmatch(r"\w[\w.=-]*", batch):
+            raise ValueError(f"not a name for files: {batch!r}")
         if merge_key and batch:
             if df.isEmpty():
                 return 0
@@ -103,6 +148,8 @@ class Lake:
                 merged = merge_rows(self._rows(path, there), self._rows(source, [source]), merge_key)
                 source = f"{staging}/merged"
                 self._save(merged, source, time)
+            if touched:
+                self._keep_schema(table, keyed)
             for folder in touched:
                 self._publish(f"{source}/{folder}", f"{path}/{folder}", batch)
         finally:
@@ -127,19 +174,26 @@ class Lake:
         return sorted("/".join(x.split("/")[-depth:]) for x in parents if "=" in x.split("/")[-1])
 
     def _publish(self, source: str, target: str, batch: str | None) -> None:
-        """Moves the files of one partition into place."""
+        """Moves the files of one partition into place, then deletes what they replace: all others, or those of the batch."""
         fs, to = self._files(target)
         _, frm = self._files(source)
-        prefix = f"part-{batch}-" if batch else ""
         Path = self.spark._jvm.org.apache.hadoop.fs.Path
-        if fs.exists(to):
-            for s in fs.listStatus(to):
-                if s.getPath().getName().startswith(prefix):
-                    fs.delete(s.getPath(), True)
         fs.mkdirs(to)
+        there = {s.getPath().getName(): s.getPath() for s in fs.listStatus(to)}
+        if batch:
+            own = re.compile(rf"part-{re.escape(batch)}-(\d+)\.parquet")
+            there = {name: path for name, path in there.items() if own.fullmatch(name)}
+            next_number = max((int(own.fullmatch(name)[1]) for name in there), default=-1) + 1
+        moved = []
         for n, s in enumerate(sorted(fs.listStatus(frm), key=lambda s: s.getPath().getName())):
-            name = f"{prefix}{n:05d}.parquet" if batch else s.getPath().getName()
-            fs.rename(s.getPath(), Path(to, name))
+            place = Path(to, f"part-{batch}-{next_number + n:05d}.parquet" if batch else s.getPath().getName())
+            if not fs.rename(s.getPath(), place):
+                for path in moved:
+                    fs.delete(path, False)
+                raise OSError(f"could not move {s.getPath()} to {place}")
+            moved.append(place)
+        for path in there.values():
+            fs.delete(path, True)
 
 
 def _walk(fs, path) -> list:
