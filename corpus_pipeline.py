@@ -1,7 +1,12 @@
 """A corpus pipeline: quality rules, exact and near deduplication, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one
-before kept.  All but the last return the columns of ``documents``.
+before kept.  All but the last return the columns of ``documents``, or of what
+they are given, whatever the names of further ones.  Null and empty texts do not
+pass the quality rules; a stage that is given them keeps one row of all that are
+equal (exact copies) or every one (near copies), mixes them with size 0 and
+packs them as one token.  Null ids and rows that repeat are documented at the
+operators.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import quality_rules
 from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.hot import spread
 from tickloom.llm.jaccard_join import one_per_group
 from tickloom.llm.mixing import mixed_rows, sized
 from tickloom.llm.packing_sequences import pack_sequences
@@ -18,11 +24,15 @@ from tickloom.llm.scratch import Scratch
 from tickloom.session import ship
 
 
+#: Words of a shingle, and the similarity from which documents are near copies.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; the raw multinomial is that of docs."""
     ship(spark)
     model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_rules.judge(docs, model).where("kept").select(*docs.columns)
+    return quality_rules.judge_rows(docs, model).where("kept").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +41,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of similar texts."""
-    return one_per_group(docs, Scratch(spark, "pipeline-near"))
+    """One row of each component of similar texts: of five-word shingles, four fifths of which are the same."""
+    return one_per_group(docs, Scratch(spark, "pipeline-near"), width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
