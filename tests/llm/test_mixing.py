@@ -11,7 +11,8 @@ from tickloom.llm.scratch import Scratch
 
 
 def mix(spark, docs):
-    return mix_sources(sized(docs), Scratch(spark, "t"))
+    scratch = Scratch(spark, "t")
+    return mix_sources(scratch.save(sized(docs), "sizes"), scratch)
 
 
 def water(sizes):

@@ -9,7 +9,8 @@ texts, with no reliance on hashes being free of collisions.
 A block or pair that occurs once in the whole table needs no name: its document
 is like no other and leaves the rounds at once.  Only names (16 bytes) travel
 after the first round, and every count is combined before its shuffle, so a
-text that a third of all documents share costs a few rows.  A document of b
+text that a third of all documents share costs a few rows, and where rows meet
+the names of hot parts, those are broadcast (see ``hot``).  A document of b
 blocks takes log2(b) rounds.
 """
 
@@ -20,9 +21,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hot import hot_limit, join_split
 from .scratch import Scratch
+from .text import SPACES
 
-SPACES = " \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
 #: Blocks are sorted by so many first bytes, then by digest, then whole.
 HEAD_BYTES = 32
@@ -72,12 +74,14 @@ def _block_names(base: DataFrame, scratch: Scratch, block_bytes: int, digest: Ca
     )
     counts = blocks.groupBy("h", "block").agg(F.count(F.lit(1)).alias("c"))
     counts = scratch.save(counts.select("h", "c", F.when(F.col("c") > 1, F.col("block")).alias("block")), "counts")
-    repeated = counts.where("c > 1").select("h", "block", F.substring("block", 1, HEAD_BYTES).alias("head"))
+    repeated = counts.where("c > 1").select("h", "c", "block", F.substring("block", 1, HEAD_BYTES).alias("head"))
     names = scratch.save(_numbered(repeated, ["head", "h"], "block").drop("head"), "names")
     clash = counts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     clash = scratch.save(clash, "clash")
-    named = blocks.drop("block").join(names.join(clash, "h", "left_anti").select("h", "name"), "h").select("rid", "n", "i", "name")
-    if not clash.isEmpty():
+    parts, clean = scratch.save(blocks.drop("block"), "parts"), clash.isEmpty()
+    alone = names if clean else names.join(clash, "h", "left_anti")
+    named = join_split(parts, alone.select("h", "c", "name"), ["h"], "c", hot_limit(parts.count())).select("rid", "n", "i", "name")
+    if not clean:
         again = blocks.join(clash, "h", "left_semi").join(names, ["h", "block"])
         named = named.unionByName(again.select("rid", "n", "i", "name"))
     return _whole(named)
@@ -85,7 +89,7 @@ def _block_names(base: DataFrame, scratch: Scratch, block_bytes: int, digest: Ca
 
 def _identities(base: DataFrame, scratch: Scratch, block_bytes: int, digest: Callable[[Column], Column]) -> DataFrame:
     """rid, level, name; equal level and name: equal texts.  Documents without a row are alone."""
-    done, level = [], 0
+    done, level, n_rows = [], 0, base.count()
     current = scratch.save(_block_names(base, scratch, block_bytes, digest), "level0")
     while True:
         done.append(current.where(F.size("names") == 1).select("rid", F.lit(level).alias("level"), F.col("names")[0].alias("name")))
@@ -98,9 +102,10 @@ def _identities(base: DataFrame, scratch: Scratch, block_bytes: int, digest: Cal
             current.select("rid", n.alias("n"), "names", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
             .select("rid", "n", "i", F.get("names", F.col("i") * 2).alias("a"), F.coalesce(F.get("names", F.col("i") * 2 + 1), F.lit(-1)).alias("b"))
         )
-        names = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b")
+        names = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         names = scratch.save(_numbered(names, ["a", "b"]), f"pairs{level}")
-        current = scratch.save(_whole(pairs.join(names, ["a", "b"]).select("rid", "n", "i", "name")), f"level{level}")
+        named = join_split(pairs, names, ["a", "b"], "c", hot_limit(n_rows)).select("rid", "n", "i", "name")
+        current = scratch.save(_whole(named), f"level{level}")
     out = done[0]
     for rows in done[1:]:
         out = out.unionByName(rows)
@@ -136,7 +141,9 @@ def exact_dedup(
     members = identity.join(base.select("rid", "points", F.col("row.doc_id").alias("doc_id")), "rid")
     groups = members.groupBy("level", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best")).where("group_size > 1")
     groups = groups.select("level", "name", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid"))
-    found = scratch.save(identity.join(groups, ["level", "name"]).select("rid", "group_size", "keep_id", "keep_rid"), "found")
+    groups = scratch.save(groups, "groups")
+    found = join_split(identity, groups, ["level", "name"], "group_size", hot_limit(identity.count()))
+    found = scratch.save(found.select("rid", "group_size", "keep_id", "keep_rid"), "found")
     alone = F.col("keep_rid").isNull()
     return base.join(found, "rid", "left").select(
         "row",

@@ -89,7 +89,7 @@ FROM verdicts GROUP BY page_id, host, path
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op4")
-    sizes = scratch.save(sized(table(spark, sf_dir, "documents")), "sizes")
+    sizes = scratch.save(sized(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))), "sizes")
     return mix_sources(sizes, scratch).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -98,7 +98,7 @@ MIX_CTES = r"""
 sizes AS (
   SELECT doc_id, source, text, lang, n_chars,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM {docs}),
 ranked AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -111,19 +111,19 @@ levels AS (
   FROM ranked),
 opened AS (SELECT *, remains * weight < 3 * source_size * others AS is_open FROM levels),
 target AS (
-  SELECT source, source_size,
+  SELECT source, source_size, is_open,
          CASE WHEN is_open THEN CAST(max(CASE WHEN is_open THEN remains END) OVER () * weight AS DOUBLE) / CAST(max(CASE WHEN is_open THEN others END) OVER () AS DOUBLE)
               ELSE CAST(3 * source_size AS DOUBLE) END AS target
   FROM opened),
 plan AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM target),
 running AS (
-  SELECT s.*, source_size, target, copies, target - copies * source_size AS budget,
+  SELECT s.*, source_size, target, copies, is_open, target - copies * source_size AS budget,
          CAST(sum(size) OVER (PARTITION BY s.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS BIGINT) AS reached,
          CAST(sum(size) OVER (PARTITION BY s.source, h) AS BIGINT) AS m
   FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
 bounds AS (
   SELECT source, arg_min(h, reached) + CASE WHEN 2 * (min(budget) - min(reached) + arg_min(m, reached)) > arg_min(m, reached) THEN 1 ELSE 0 END AS bound
-  FROM running WHERE reached > budget GROUP BY source),
+  FROM running WHERE reached > budget AND is_open GROUP BY source),
 mixed AS (
   SELECT r.*, copies + CASE WHEN h < coalesce(bound, 0) THEN 1 ELSE 0 END AS n_copies
   FROM running r LEFT JOIN bounds b ON r.source IS NOT DISTINCT FROM b.source)
