@@ -212,3 +212,76 @@ def test_held_out_accuracy(spark, name, label, least):
     assert out.columns == ["doc_id", "held_out", "score", "predicted"]
     rows = out.join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r[label] for r in rows]) >= least
+
+
+def test_attention_by_brute_force():
+    """Scores of whole texts, one passage and one word at a time."""
+    texts = ["", None, "one two three " * 40, "B", "Long words and short ones, " * 9]
+    data = binary_text(pa.array(texts))
+    rng = np.random.default_rng(2)
+    x, n = quality_classifier.passages(*data)
+    ids, sizes = quality_classifier.word_bags(*data)
+    assert sizes.tolist() == [0, 0, 96, 96, 48, 2, 90]
+    model = quality_classifier.train(x, n, np.array([0.0, 1.0, 1.0, 0.0, 1.0]), (ids, sizes))
+    p = model.p
+    p["W"] = rng.normal(size=p["W"].shape)
+    got, at, word = model.scores(*data), 0, 0
+    for k, score in zip(n, got, strict=True):
+        z, a = [], []
+        for i in range(at, at + k):
+            own = ids[word : word + sizes[i]]
+            word += sizes[i]
+            mean = np.mean([p["W"][j] for j in own], axis=0) if len(own) else np.zeros(quality_classifier.WORD_WIDTH)
+            z.append(np.tanh(np.r_[(x[i] - model.mean) / model.scale, mean] @ p["E"] + p["e"]))
+            a.append(np.sum(p["w"] * np.tanh(z[-1] @ p["V"]) / (1 + np.exp(-(z[-1] @ p["U"])))))
+        weight = np.exp(a) / np.exp(a).sum()
+        odds = sum(w * v for w, v in zip(weight, z, strict=True)) @ p["c"] + p["d"][0]
+        assert score == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-6)
+        at += k
+
+
+def test_embedding_gradient():
+    rng = np.random.default_rng(0)
+    x, n, y = rng.normal(size=(4, quality_classifier.FEATURES)), np.array([3, 1]), np.array([1.0, 0.0])
+    bag = np.array([5, 6, 5, 7, 8], np.int32), np.array([2, 0, 2, 1])
+    model = quality_classifier.train(x, n, y, bag)
+
+    def loss():
+        s, _ = model.forward(x, n, bag)
+        return np.mean(np.log1p(np.exp(s)) - y * s)
+
+    s, state = model.forward(x, n, bag)
+    gradient = model.gradient(state, 1 / (1 + np.exp(-s)) - y)["W"]
+    for at in ((5, 0), (6, 1), (7, 2), (8, 3), (9, 0)):
+        old = model.p["W"][at]
+        model.p["W"][at] = old + 1e-6
+        up = loss()
+        model.p["W"][at] = old - 1e-6
+        down = loss()
+        model.p["W"][at] = old
+        assert gradient[at] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+
+
+def test_label_model_by_brute_force():
+    """Gaps from each triplet of voters, and posteriors vote by vote."""
+    rng = np.random.default_rng(8)
+    n, prior = 30_000, 0.2
+    toxic = rng.random(n) < prior
+    votes = (rng.random((n, 4)) < np.where(toxic[:, None], [0.5, 0.4, 0.6, 0.3], [0.02, 0.01, 0.03, 0.01])).astype(int)
+    model = toxicity.fit_label_model(votes.T @ votes, n, prior)
+    assert not model.correlated.any()
+    rate = votes.mean(0)
+    cov = lambda i, j: (votes[:, i] * votes[:, j]).mean() - rate[i] * rate[j]
+    for i in range(4):
+        others = [j for j in range(4) if j != i]
+        gap = np.sqrt(np.median([cov(i, j) * cov(i, k) / cov(j, k) / prior / (1 - prior) for j in others for k in others if j != k]))
+        high, low = rate[i] + (1 - prior) * gap, max(rate[i] - prior * gap, 0.02 * rate[i] + 1e-7)
+        assert model.weight[i] == pytest.approx(np.clip(np.log(high / low), 0, 6))
+    for row in votes[:50]:
+        odds = np.log(prior / (1 - prior)) + sum(w for w, v in zip(model.weight, row, strict=True) if v)
+        assert model.posterior(row[None])[0] == pytest.approx(1 / (1 + np.exp(-odds)))
+
+
+def test_best_cut():
+    assert toxicity.best_cut(np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0])) == 1.5
+    assert toxicity.best_cut(np.array([1.0, 1.0, 0.0]), np.array([1, 0, 0])) == 0.5

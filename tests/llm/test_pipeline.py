@@ -57,7 +57,7 @@ def test_stages(spark):
     assert ids(after) == ids(min(g, key=lambda r: (-len(r["text"]), r["doc_id"])) for g in best.values())
 
     before, after = stages["jaccard_join"]
-    roots = components({r["doc_id"]: shingles(r["text"]) for r in before})
+    roots = components({r["doc_id"]: shingles(r["text"], 5) for r in before}, 80)
     assert ids(after) == sorted(set(roots.values()))
 
     before, after = stages["mix_sources"]

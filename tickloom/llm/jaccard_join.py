@@ -48,7 +48,7 @@ from .text import LAST, U64, WORD, Words, binary_text, chained, keyed, mix64, sl
 
 SHINGLE, PERCENT = 4, 85
 CHUNK_BYTES = 1 << 20
-#: Bytes of text, or of sets, for each bucket of keys or of groups.
+#: Bytes of text for each bucket of keys; groups are dealt over as many buckets as hot.TASK_BYTES asks for.
 BUCKET_BYTES = 16 << 20
 #: Bytes of a key beside its bucket.  Keys that collide cost a comparison, no result.
 KEY_BYTES = 6
@@ -364,9 +364,9 @@ class _Join:
 
     def links(self, groups: DataFrame, exact: bool, weight: int) -> DataFrame:
         """Links within groups (grp, sid, n, label, content), which have about ``weight`` bytes."""
-        buckets, percent = pieces(weight, BUCKET_BYTES), self.percent
+        buckets, percent = pieces(weight), self.percent
         dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)).cast("int"))
-        return dealt.repartition(partitions(weight, BUCKET_BYTES), "bucket").groupBy("bucket").applyInArrow(lambda t: _joined(t, percent, exact), LINKS_DDL)
+        return dealt.repartition(partitions(weight), "bucket").groupBy("bucket").applyInArrow(lambda t: _joined(t, percent, exact), LINKS_DDL)
 
     def possible(self, shared: DataFrame, sizes: DataFrame) -> DataFrame:
         """Links that connect any two sets with a common key that may be similar by their bitmaps."""
@@ -400,7 +400,7 @@ class _Join:
         once, every = (16 * int(df.agg(F.sum("n")).first()[0] or 0) for df in (active, groups))
         width, parts, on = self.width, partitions(self.total), ["key", "digest"]
         wanted = texts.repartition(parts, *on).join(active.select("sid", *on).repartition(parts, *on), on).select("sid", "text")
-        parts = partitions(once, BUCKET_BYTES)
+        parts = partitions(once)
         sets = wanted.mapInArrow(lambda b: _sets(b, width), f"sid {SID}, content binary").repartition(parts, "sid").dropDuplicates(["sid"])
         return self.links(groups.repartition(parts, "sid").join(sets, "sid"), True, every)
 

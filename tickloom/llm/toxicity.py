@@ -5,8 +5,9 @@ labelled documents, and patterns of two words.  Each fires on a document or
 abstains.  How often voters fire, alone and together, is counted over all
 documents; from these moments the label model estimates without labels how much
 oftener each fires on toxic documents and which pairs are correlated beyond
-the class.  Its posterior labels train the classifier, whose
-features also cover words that no voter knows: words and beginnings of words.
+the class.  Its posterior labels of a hash sample of all documents, labelled or
+not, train the classifier, whose features also cover words that no voter knows:
+words and beginnings of words.  A label, where there is one, is one voter more.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import label_sample
+from .labelled import held_out, label_sample
 from .text import U64, Words, binary_text, mix64, slices
 
 #: Common insults in four languages, and patterns of two words.
@@ -32,8 +33,13 @@ LEXICON = (
 ).split()
 PATTERNS = "shut up|you idiot|you moron|hate you|you are|go die|kill yourself|du bist|tu es|eres un|get lost|screw you".split("|")
 SLICE_BYTES = 1 << 20
-#: The most labelled documents for mining and training, mined voters, and features of the classifier.
+#: The most labelled documents for mining and training, and about as many of all documents for training; mined voters, and
+#: features of the classifier: parameters of ``fit``.
 SAMPLE, MINED, FEATURES = 8_000, 96, 4_096
+#: What a label adds to the log-odds of its document.
+LABEL_ODDS = 4.0
+#: The score at which documents are told apart: the intercept is set so that this serves labelled documents best.
+LIMIT = 0.7
 #: A mined entry is in so many toxic documents of the sample at least, and so many times oftener there than in others.
 MINED_LEAST, MINED_LIFT = 5, 12.0
 PREFIXES = (4, 5, 6, 7, 8)
@@ -115,6 +121,13 @@ def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return rows.groupBy(F.xxhash64("text").alias("k")).agg(F.min(F.struct("label", "text")).alias("r")).select("r.label", "r.text")
 
 
+def _unlabelled(docs: DataFrame, most: int) -> DataFrame:
+    """text of about ``most`` documents outside the held-out third, by a hash of their texts."""
+    texts = docs.where(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).alias("text"))
+    share = most / max(docs.count(), 1)
+    return texts.where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 32)) < int(share * (1 << 32)))
+
+
 def _moments(batches: Iterator[pa.RecordBatch], lookup: Lookup) -> Iterator[pa.RecordBatch]:
     v = len(lookup.order)
     total, n = np.zeros((v, v), np.int64), 0
@@ -138,9 +151,9 @@ class LabelModel:
     correlated: np.ndarray
     weight: np.ndarray
 
-    def posterior(self, fired: np.ndarray) -> np.ndarray:
-        """Probability of toxic for each row of votes; abstaining says nothing."""
-        return 1 / (1 + np.exp(-np.clip(np.log(self.prior / (1 - self.prior)) + fired @ self.weight, -30, 30)))
+    def posterior(self, fired: np.ndarray, more: np.ndarray | float = 0.0) -> np.ndarray:
+        """Probability of toxic for each row of votes, and more log-odds; abstaining says nothing."""
+        return 1 / (1 + np.exp(-np.clip(np.log(self.prior / (1 - self.prior)) + fired @ self.weight + more, -30, 30)))
 
 
 def fit_label_model(together: np.ndarray, n: int, prior: float) -> LabelModel:
@@ -195,12 +208,13 @@ class Model:
 
 
 def _voted(batches: Iterator[pa.RecordBatch], lookup: Lookup, label_model: LabelModel) -> Iterator[pa.RecordBatch]:
-    """The texts with posterior labels in the place of labels."""
+    """The texts with posterior labels in the place of labels, which may be null."""
     for batch in slices(batches, SLICE_BYTES):
         row, entry = lookup.present(*_hashed(batch.column("text")))
         fired = np.zeros((batch.num_rows, len(lookup.order)))
         fired[row, entry] = 1
-        yield pa.RecordBatch.from_arrays([pa.array(label_model.posterior(fired)), batch.column("text")], ["label", "text"])
+        label = batch.column("label").cast(pa.float64()).fill_null(0.5).to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(label_model.posterior(fired, (2 * label - 1) * LABEL_ODDS)), batch.column("label"), batch.column("text")], ["label", "gold", "text"])
 
 
 def _present(batches: Iterator[pa.RecordBatch], lookup: Lookup) -> Iterator[pa.RecordBatch]:
@@ -208,7 +222,7 @@ def _present(batches: Iterator[pa.RecordBatch], lookup: Lookup) -> Iterator[pa.R
         row, feature = lookup.present(*_hashed(batch.column("text"), PREFIXES))
         ends = np.cumsum(np.bincount(row, minlength=batch.num_rows))
         lists = np.split(feature.astype(np.int32), ends[:-1])
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([x.tobytes() for x in lists], pa.binary())], ["label", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("gold"), pa.array([x.tobytes() for x in lists], pa.binary())], ["label", "gold", "features"])
 
 
 def _logistic(lists: list[np.ndarray], y: np.ndarray, size: int) -> tuple[np.ndarray, float]:
@@ -227,11 +241,22 @@ def _logistic(lists: list[np.ndarray], y: np.ndarray, size: int) -> tuple[np.nda
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, scratch, sample: int = SAMPLE) -> Model:
-    """Mines voters from ``sample`` labelled documents at most, counts votes over all, trains on posteriors.
+def best_cut(odds: np.ndarray, gold: np.ndarray) -> float:
+    """The middle of the gap in the odds above which documents are called toxic with the best F1."""
+    order = np.argsort(-odds, kind="stable")
+    s, y = odds[order], gold[order]
+    hits = np.cumsum(y)
+    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    f1[:-1][s[1:] == s[:-1]] = -1  # no cut parts equal odds
+    k = int(np.argmax(f1))
+    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else float(s[k] - 1e-9)
+
+
+def fit(docs: DataFrame, labels: DataFrame, scratch, sample: int = SAMPLE, most_mined: int = MINED, most_features: int = FEATURES) -> Model:
+    """Mines voters from ``sample`` labelled documents at most, counts votes over all, trains on posteriors of those and as many others.
 
     Without labels only the fixed voters vote, with a prior of 0.1.  The driver
-    gets at most MINED entries, one number for each pair of voters, FEATURES
+    gets at most ``most_mined`` entries, one number for each pair of voters, ``most_features``
     candidates, and the candidates that each document of the sample has.
     """
     chosen = scratch.save(_sample(docs, labels, sample), "sample")
@@ -242,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch, sample: int = SAMPLE) -> Mo
     if toxic and others:
         lift = (F.col("toxic") / toxic) / ((F.col("n") - F.col("toxic") + 0.5) / others)
         counts = _document_counts(chosen, ()).where((F.col("toxic") >= MINED_LEAST) & (lift >= MINED_LIFT))
-        top = counts.orderBy(F.col("toxic").desc(), "h").limit(MINED).collect()
+        top = counts.orderBy(F.col("toxic").desc(), "h").limit(most_mined).collect()
         mined = np.array([r.h for r in top], np.int64).view(U64)
     voters = Lookup(np.unique(np.concatenate([fixed, mined])))
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
@@ -257,17 +282,22 @@ def fit(docs: DataFrame, labels: DataFrame, scratch, sample: int = SAMPLE) -> Mo
     label_model = fit_label_model(together, total, prior)
     if not n:  # nothing to train on: the voters' weights are the classifier
         return Model(voters, label_model.weight, float(np.log(prior / (1 - prior))))
-    voted = scratch.save(chosen.select("text").mapInArrow(lambda b: _voted(b, voters, label_model), "label double, text string"), "voted")
+    every = chosen.unionByName(_unlabelled(docs, sample).select(F.lit(None).cast("int").alias("label"), "text"))
+    every = every.groupBy(F.xxhash64("text").alias("k")).agg(F.max(F.struct("label", "text")).alias("r")).select("r.label", "r.text")
+    voted = scratch.save(every.mapInArrow(lambda b: _voted(b, voters, label_model), "label double, gold int, text string"), "voted")
     share = voted.agg(F.avg("label")).first()[0]
     z = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    best = _document_counts(voted, PREFIXES).where((F.col("n") >= 3) & (F.abs(z) >= LEAST_Z)).orderBy(F.abs(z).desc(), "h").limit(FEATURES).collect()
+    best = _document_counts(voted, PREFIXES).where((F.col("n") >= 3) & (F.abs(z) >= LEAST_Z)).orderBy(F.abs(z).desc(), "h").limit(most_features).collect()
     if not best:
         return Model(voters, label_model.weight, float(np.log(prior / (1 - prior))))
     features = Lookup(np.array([r.h for r in best], np.int64).view(U64))
-    seen = voted.mapInArrow(lambda b: _present(b, features), "label double, features binary").collect()
+    seen = voted.mapInArrow(lambda b: _present(b, features), "label double, gold int, features binary").collect()
     seen.sort(key=lambda r: (r.label, r.features))
-    weight, intercept = _logistic([np.frombuffer(r.features, np.int32) for r in seen], np.array([r.label for r in seen]), len(best))
-    return Model(features, weight, intercept)
+    lists = [np.frombuffer(r.features, np.int32) for r in seen]
+    weight, intercept = _logistic(lists, np.array([r.label for r in seen]), len(best))
+    odds = np.array([weight[x].sum() for x, r in zip(lists, seen, strict=True) if r.gold is not None])
+    gold = np.array([r.gold for r in seen if r.gold is not None])
+    return Model(features, weight, float(np.log(LIMIT / (1 - LIMIT))) - best_cut(odds, gold) if 0 < gold.sum() < len(gold) else intercept)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -276,6 +306,10 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row; null and empty texts have the intercept's."""
+    """doc_id and score of every row; null and empty texts have the intercept's.
+
+    Every row is scored on its own whole text, so repeated rows, null ids, ties
+    and further columns change nothing; an empty table gives an empty result.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(lambda batches: _scored(batches, model), "doc_id long, score double")
