@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Bytes of text, or of arrays, that one task of a shuffle should meet; and the most partitions of one.
 TASK_BYTES, MOST_PARTITIONS = 4 << 20, 20_000
 #: A key is hot from so many rows, or from this share of all of them: so there are at most 1 / HOT_SHARE hot keys.
-HOT_ROWS, HOT_SHARE = 10_000, 1e-5
+HOT_ROWS, HOT_SHARE = 1_000, 1e-5
 
 
 def pieces(total: int | None, each: int = TASK_BYTES) -> int:

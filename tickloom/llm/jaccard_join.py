@@ -263,9 +263,33 @@ _LINKS = pa.schema([("a", pa.decimal128(38, 0)), ("b", pa.decimal128(38, 0))])
 LINKS_DDL = f"a {SID}, b {SID}"
 
 
+def stars(pairs: list[tuple[int, int]], rank: np.ndarray) -> np.ndarray:
+    """Pairs that connect the same, each of a node and the node of the least rank that it is connected with.
+
+    Groups of one family link it in many ways; as stars these are mostly the
+    same links, so a family costs about a link for each member, not for each key.
+    """
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        if x != y:
+            root[x if rank[y] < rank[x] else y] = y if rank[y] < rank[x] else x
+    return np.array([(find(x), x) for x in root if find(x) != x], np.int64).reshape(-1, 2)
+
+
 def _links(pairs: list[tuple[int, int]], sids: pa.Array) -> pa.Table:
-    pairs = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
-    return pa.Table.from_arrays([sids.take(pa.array(pairs[:, 0])), sids.take(pa.array(pairs[:, 1]))], schema=_LINKS)
+    lanes = np.frombuffer(sids.buffers()[1], U64).reshape(-1, 2)[sids.offset : sids.offset + len(sids)] if len(sids) else np.zeros((0, 2), U64)
+    rank = np.empty(len(sids), np.int64)
+    rank[np.lexsort((lanes[:, 0], lanes[:, 1]))] = np.arange(len(sids))
+    found = stars(pairs, rank)
+    return pa.Table.from_arrays([sids.take(pa.array(found[:, 0])), sids.take(pa.array(found[:, 1]))], schema=_LINKS)
 
 
 def _by_group(group: np.ndarray, member: np.ndarray) -> list[np.ndarray]:
@@ -303,7 +327,7 @@ def _joined(table: pa.Table, percent: int, exact: bool) -> pa.Table:
             found = similar_sets([s.reshape(-1, 2) for s in sets], percent, _own_labels(label[own]))
         else:
             found = linked_pairs(n[own], sets, percent, label=_own_labels(label[own]))
-        out += [(sid[own[x]], sid[own[y]]) for x, y in found]
+        out += [(int(sid[own[x]]), int(sid[own[y]])) for x, y in found]
     return _links(out, sids)
 
 
