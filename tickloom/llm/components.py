@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hot import hot_limit, join_split
 from .scratch import Scratch
 
 
-#: Places over which the neighbours of a node are dealt in joins, so that the centre of a large star is not one task's.
-SALTS = 8
+def _towards(neighbours: DataFrame, limit: int) -> DataFrame:
+    """a, b and m: the smallest of a and its neighbours.
 
-
-def _towards(neighbours: DataFrame) -> DataFrame:
-    """a, b and m: the smallest of a and its neighbours.  The count of a hot node is combined before its shuffle."""
-    least = neighbours.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return neighbours.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")).join(least, ["a", "salt"]).drop("salt")
+    The count of a hot node is combined before its shuffle, and its least is
+    broadcast, so that the centre of a large star is not one task's.
+    """
+    least = neighbours.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    return join_split(neighbours, least, ["a"], "degree", limit).drop("degree")
 
 
 def _are_stars(edges: DataFrame) -> bool:
@@ -34,12 +35,13 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     many edges as before.
     """
     now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}0")
+    limit = hot_limit(2 * now.count())
     n = 0
     while not _are_stars(now):
         n += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _towards(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        stars = _towards(large)
+        large = _towards(both, limit).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        stars = _towards(large, limit)
         small = stars.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(stars.select("a", F.col("m").alias("b")))
         now = scratch.save(small.where("a <> b").distinct(), f"{label}{n}")
         if n > 1:
