@@ -15,7 +15,7 @@ settled before, without losing a pair.
     of a smaller partner.  Should a document have too few parts that are not
     empty, all keys are made again with more parts.
 3.  Keys travel packed, as rows of raw arrays.  Those that several identities
-    have are joined by trees over bitmaps: what is left are the pairs that may
+    have are named by these, so that keys of the same sets are one, and joined by trees over bitmaps: what is left are the pairs that may
     be similar, as links that connect families.
 4.  Families are joined by trees with exact overlaps of the full sets.
 5.  Links are made into components.
@@ -238,7 +238,12 @@ _SHARED = pa.schema([("key", pa.int64()), ("address", pa.int64())])
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """key and address, of keys that several addresses have."""
+    """key and address, of keys that several addresses have.
+
+    A key is named by its addresses, so keys of the same members become one and
+    a family meets once, not for each of its keys.  Different ones that share a
+    name meet together, which costs comparisons and loses no pair.
+    """
     parts = [packing.split(p) for p in table.column("payload").to_pylist()]
     key = np.concatenate([packing.from_short(p[0], KEY_BYTES) for p in parts])
     address = np.concatenate([np.repeat(np.frombuffer(p[1], np.int64), packing.from_planes(p[2], np.uint32)) for p in parts])
@@ -254,9 +259,14 @@ def _shared(table: pa.Table) -> pa.Table:
         begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         each = np.diff(np.r_[begins, len(key)])
         several = np.repeat(each > 1, each)
-        key, address = key[several], address[several]
-    bucket = table.column("bucket")[0].as_py()
-    return pa.Table.from_arrays([pa.array(mix64(key * U64(0x9E3779B97F4A7C15) + U64(bucket)).view(np.int64)), pa.array(address)], schema=_SHARED)
+        address, each = address[several], each[each > 1]
+    if not len(address):
+        return _SHARED.empty_table()
+    name = np.repeat(mix64(np.add.reduceat(mix64(address.view(U64)), np.cumsum(each) - each)), each).view(np.int64)
+    order = np.lexsort((address, name))
+    name, address = name[order], address[order]
+    new = np.r_[True, (name[1:] != name[:-1]) | (address[1:] != address[:-1])]
+    return pa.Table.from_arrays([pa.array(name[new]), pa.array(address[new])], schema=_SHARED)
 
 
 _LINKS = pa.schema([("a", pa.decimal128(38, 0)), ("b", pa.decimal128(38, 0))])
@@ -384,7 +394,7 @@ class _Join:
             attempt, miss = attempt + 1, miss * MISS
         base = rows.where("bucket is null").drop("bucket", "payload")
         packed = rows.where("bucket is not null").select("bucket", "payload").repartition(partitions(self.total, BUCKET_BYTES), "bucket")
-        return base, self.scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, address long"), "shared")
+        return base, self.scratch.save(packed.groupBy("bucket").applyInArrow(_shared, "key long, address long").distinct(), "shared")
 
     def links(self, groups: DataFrame, exact: bool, weight: int) -> DataFrame:
         """Links within groups (grp, sid, n, label, content), which have about ``weight`` bytes."""
