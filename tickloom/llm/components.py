@@ -13,9 +13,13 @@ def _towards(neighbours: DataFrame, limit: int) -> DataFrame:
     """a, b and m: the smallest of a and its neighbours.
 
     The count of a hot node is combined before its shuffle, and its least is
-    broadcast, so that the centre of a large star is not one task's.
+    broadcast, so that the centre of a large star is not one task's.  Where no
+    node is hot nothing is broadcast: each broadcast holds a page on the driver.
+    neighbours is read twice: give a table.
     """
     least = neighbours.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    if least.where(F.col("degree") > limit).isEmpty():
+        return neighbours.join(least.drop("degree"), "a")
     return join_split(neighbours, least, ["a"], "degree", limit).drop("degree")
 
 
@@ -41,10 +45,10 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         n += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _towards(both, limit).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = scratch.save(large, f"{label}{n}-large")
         stars = _towards(large, limit)
         small = stars.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(stars.select("a", F.col("m").alias("b")))
         now = scratch.save(small.where("a <> b").distinct(), f"{label}{n}")
-        if n > 1:
-            scratch.drop(f"{label}{n - 2}")
+        scratch.drop(f"{label}{n}-large", *[f"{label}{n - 2}"] * (n > 1))
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
