@@ -12,6 +12,11 @@ def ieee_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, zero).otherwise(F.try_divide(a, b))
 
 
+def ieee_ln(x: Column) -> Column:
+    """Natural logarithm of a double with the results of IEEE 754: -infinity of 0, NaN of less; null of null."""
+    return F.when(x > 0, F.ln(x)).when(x == 0, F.lit(float("-inf"))).when(x < 0, F.lit(float("nan")))
+
+
 def total(*terms: Column) -> Column:
     """Sum in which nulls count as 0."""
     out = F.lit(0.0)

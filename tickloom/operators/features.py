@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ieee_div
+from ..functions.numeric import ieee_div, ieee_ln
 from ..schemas import SERIES
 
 
@@ -36,11 +36,14 @@ def series_window(bars: DataFrame, order: str = "bar_timestamp_utc") -> WindowSp
 
 
 def realized_volatility(bars: DataFrame, window_bars: int, column: str, order: str = "bar_timestamp_utc") -> DataFrame:
-    """Root of the summed squared log returns of the last ``window_bars`` bars; null without a return."""
+    """Root of the summed squared log returns of the last ``window_bars`` bars; null without a return.
+
+    Returns from and to a close of 0 are infinite, and between two of them NaN, as IEEE arithmetic has it.
+    """
     if window_bars < 1:
         raise ValueError("window_bars must be at least 1")
     w = series_window(bars, order)
-    r = F.ln("close") - F.ln(F.lag("close").over(w))
+    r = ieee_ln(F.col("close")) - ieee_ln(F.lag("close").over(w))
     bars = bars.withColumn("__r2", r * r)
     return bars.withColumn(column, F.sqrt(F.sum("__r2").over(w.rowsBetween(1 - window_bars, 0)))).drop("__r2")
 
