@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_queries import table
-from tickloom.functions.numeric import ieee_ln
+from tickloom.functions.numeric import ieee_ln, round_binary
 from tickloom.plans.queries import QUERIES, SQL
 
 #: Closes of 0, alone and two in a row, with a step that makes each a bar of every timeframe.
@@ -37,3 +39,19 @@ def test_ieee_ln(spark):
 def test_zero_prices(spark, tmp_path, name):
     _, rows = agrees(spark, tmp_path, name, ZEROS, timedelta(minutes=5))
     assert {"nan", float("inf")} <= {v for r in rows for v in r}
+
+
+def test_round_binary(spark):
+    values = [65.6240625, 70.90656249999999, -65.6240625, 0.5e-6, -1e-9, 0.0, 1e300, 1e308, float("inf"), float("nan"), None, -2.5, 123456.7890125]
+    rng = random.Random(4)
+    values += [rng.randrange(1, 10**8) / rng.choice([16, 32, 64, 700, 1e6, 2e6]) for _ in range(2000)]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(round_binary(F.col("x"), 6)).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT round($1::DOUBLE, 6)", [v]).fetchone()[0] for v in values]
+    assert [repr(v) for v in got] == [repr(v) for v in want]
+
+
+def test_halves_of_the_sixth_digit(spark, tmp_path):
+    """Bars of one trade each, whose vwap is its price."""
+    prices = [65.6240625, 70.90656249999999, 32.2990625, *[(1000 * i + 985) / 16 / 1000 for i in range(40)]]
+    agrees(spark, tmp_path, "enriched_bars_5m", prices, timedelta(minutes=5))

@@ -17,6 +17,18 @@ def ieee_ln(x: Column) -> Column:
     return F.when(x > 0, F.ln(x)).when(x == 0, F.lit(float("-inf"))).when(x < 0, F.lit(float("nan")))
 
 
+def round_binary(x: Column, digits: int) -> Column:
+    """x rounded as DuckDB does: the double x * 10**digits, halves away from zero, over 10**digits.
+
+    ``F.round`` takes the decimal digits that print x instead, so 65.6240625,
+    whose product is 65624062.49999999, would go up.
+    """
+    scale = float(10**digits)
+    whole = F.round(x * scale)
+    whole = F.when(whole == 0, x * 0.0).otherwise(whole)  # keeps the sign of x, as IEEE has it
+    return F.when(F.abs(whole) < float("inf"), whole / scale).otherwise(x)
+
+
 def total(*terms: Column) -> Column:
     """Sum in which nulls count as 0."""
     out = F.lit(0.0)

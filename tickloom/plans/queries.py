@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_binary
 from ..functions.symbols import unified_symbol
 from ..functions.times import from_micros, to_micros, year_and_month
 from ..operators import asof, bars, book, features, quality, trades
@@ -35,7 +36,7 @@ def query(sql: str | None = None):
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Doubles that depend on the order of additions, rounded."""
-    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    return df.withColumns({c: round_binary(F.col(c), n) for c, n in digits.items()})
 
 
 # --- tables made of the driver's -------------------------------------------------------------
@@ -225,7 +226,7 @@ FINITE = "CASE WHEN isfinite(x) THEN round(x, 6) END AS volume_zscore, x IS NOT
 def finite_score(df: DataFrame) -> DataFrame:
     x = F.col("volume_zscore")
     finite = F.abs(x) < float("inf")  # false for NaN, which is largest
-    return df.withColumns({"is_flat_window": x.isNotNull() & ~F.coalesce(finite, F.lit(False)), "volume_zscore": F.when(finite, F.round(x, 6))})
+    return df.withColumns({"is_flat_window": x.isNotNull() & ~F.coalesce(finite, F.lit(False)), "volume_zscore": F.when(finite, round_binary(x, 6))})
 
 
 @query(f"WITH {TICKS}, {B5M}, {Z} SELECT exchange, symbol, bar_timestamp_utc, volume_base, {FINITE}, coalesce(x > 3, FALSE) AS is_volume_surge FROM y")
