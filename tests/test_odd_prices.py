@@ -35,7 +35,7 @@ def test_ieee_ln(spark):
     assert got[:3] == [0.0, float("-inf"), float("-inf")] and got[3] != got[3] and got[4:] == [None, float("inf")]
 
 
-@pytest.mark.parametrize("name", ["enriched_bars_1m", "realized_vol_w1", "realized_vol_w5"])
+@pytest.mark.parametrize("name", ["enriched_bars_1m", "enriched_bars_1s", "realized_vol_w1", "realized_vol_w5"])
 def test_zero_prices(spark, tmp_path, name):
     _, rows = agrees(spark, tmp_path, name, ZEROS, timedelta(minutes=5))
     assert {"nan", float("inf")} <= {v for r in rows for v in r}
