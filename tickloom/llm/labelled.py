@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents, for fitting."""
+"""Labelled documents, for fitting: all of them, or bounded samples."""
 
 from __future__ import annotations
 
@@ -26,33 +26,33 @@ def every_label(labels: DataFrame, label: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min("label").alias("label"))
 
 
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``every_label`` without held-out documents."""
+    return every_label(labels, label).where(~held_out(F.col("doc_id")))
+
+
 def label_sample(labels: DataFrame, label: str, most: int = SAMPLE, train_only: bool = True) -> DataFrame:
     """Of ``every_label`` at most ``most`` rows, those with the smallest hash of doc_id.
 
     Of held-out documents none is taken unless asked for.
     """
-    rows = every_label(labels, label)
-    if train_only:
-        rows = rows.where(~held_out(F.col("doc_id")))
+    rows = training_labels(labels, label) if train_only else every_label(labels, label)
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-
-
-def with_labels(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """label and text of documents of the sample, which is small by its limit: 12 bytes a row."""
-    return _texts(docs).join(F.broadcast(sample), "doc_id").select("label", "text")
-
+def beside_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows that have a doc_id with the label of it, for any number of labels, one for each doc_id.
 
-def with_every_label(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """label and text of documents of any number of labels, one for each doc_id.
-
-    Labels and texts are shuffled whatever their number, so the plan is the
+    Labels and rows are shuffled whatever their number, so the plan is the
     same at every size; each label goes to ``SALTS`` places, so that a doc_id
     of many rows is not one task's.
     """
     salted = labels.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    rows = _texts(docs).where("doc_id is not null").withColumn("salt", F.spark_partition_id() % SALTS)
-    return rows.join(salted.hint("merge"), ["doc_id", "salt"]).select("label", "text")
+    rows = rows.where("doc_id is not null").withColumn("salt", F.spark_partition_id() % SALTS)
+    return rows.join(salted.hint("merge"), ["doc_id", "salt"]).drop("salt")
+
+
+def with_every_label(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """label and text of documents of any number of labels, one for each doc_id; texts are shuffled."""
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    return beside_labels(texts, labels).select("label", "text")

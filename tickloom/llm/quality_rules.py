@@ -6,14 +6,14 @@ the number of n-grams.  Texts unlike the trusted ones have a low ratio and fall
 below a threshold that is the same for every document and rerun.
 
 The raw multinomial counts every document and the trusted one every document
-labelled 1.  The threshold comes from a bounded sample of labelled documents
+labelled 1.  The threshold is the best of all documents that are labelled and
 outside the held-out third.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .labelled import SAMPLE, every_label, label_sample, with_every_label, with_labels
+from .labelled import beside_labels, every_label, label_sample, training_labels, with_every_label
 from .text import U64, Words, binary_text, coded, is_space, mix64, ranked, repeated, slices
 
 N, BUCKETS = 3, 1 << 16
@@ -32,6 +32,8 @@ TRUSTED_COST = 20.0
 SLICE_BYTES = 2 << 20
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+RUN_DDL = "first double, last double, ones long, zeros long, value double, low double, high double"
+RUN = pa.schema([(c.split()[0], {"double": pa.float64(), "long": pa.int64()}[c.split()[1]]) for c in RUN_DDL.split(", ")])
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, n: int = N, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -80,39 +82,108 @@ def _counts(texts: DataFrame) -> np.ndarray:
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, SLICE_BYTES):
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(model.scores(*binary_text(batch.column("text"))))], ["label", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.scores(*binary_text(batch.column("text"))))], ["doc_id", "score"])
+
+
+@dataclass
+class Run:
+    """Consecutive scores, and the best cut between two of them.
+
+    value is what the cut costs for the run's own scores, less by all of its
+    zeros, so runs need not know of each other; the cut is between low and
+    high, nowhere (infinite value) in a run of one score.
+    """
+
+    first: float
+    last: float
+    ones: int = 0
+    zeros: int = 0
+    value: float = float("inf")
+    low: float = 0.0
+    high: float = 0.0
+
+    def add(self, s: np.ndarray, ones: np.ndarray, zeros: np.ndarray, cost: float) -> None:
+        """Further distinct scores, ascending, and how many of each label have them."""
+        value = cost * (self.ones + np.cumsum(ones) - ones) - (self.zeros + np.cumsum(zeros) - zeros)
+        gap = np.diff(s, prepend=self.last)  # 0 only at a run's first score
+        value = np.where(gap > 0, value, np.inf)
+        least = np.flatnonzero(value == value.min())
+        k = int(least[np.argmax(gap[least])])
+        if (value[k], -gap[k]) < (self.value, self.low - self.high):
+            self.value, self.low, self.high = float(value[k]), float(s[k - 1]) if k else self.last, float(s[k])
+        self.ones, self.zeros, self.last = self.ones + int(ones.sum()), self.zeros + int(zeros.sum()), float(s[-1])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], cost: float) -> Iterator[pa.RecordBatch]:
+    """The run of a whole partition, which is sorted."""
+    run = None
+    for batch in batches:
+        if batch.num_rows:
+            s, ones, zeros = (batch.column(c).to_numpy() for c in ("score", "ones", "zeros"))
+            run = run or Run(float(s[0]), float(s[0]))
+            run.add(s, ones, zeros, cost)
+    if run:
+        yield pa.RecordBatch.from_pylist([asdict(run)], RUN)
+
+
+def best_of(runs: list[Run], cost: float = TRUSTED_COST) -> float:
+    """The middle of the widest best gap of runs that do not overlap; -inf without both labels."""
+    runs = sorted(runs, key=lambda r: r.first)
+    all_ones, all_zeros = sum(r.ones for r in runs), sum(r.zeros for r in runs)
+    if not all_ones or not all_zeros:
+        return float("-inf")
+    # Errors, gap and threshold of each cut: below all scores, between runs, in runs, above all.
+    cuts, ones, zeros = [(all_zeros, 0.0, runs[0].first - 1e-9)], 0, 0
+    for i, r in enumerate(runs):
+        before = cost * ones + all_zeros - zeros
+        if i:
+            cuts.append((before, r.first - runs[i - 1].last, (runs[i - 1].last + r.first) / 2))
+        cuts.append((before + r.value, r.high - r.low, (r.low + r.high) / 2))
+        ones, zeros = ones + r.ones, zeros + r.zeros
+    cuts.append((cost * all_ones, 0.0, runs[-1].last + 1e-9))
+    return float(min(cuts, key=lambda c: (c[0], -c[1]))[2])
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray, cost: float = TRUSTED_COST) -> float:
     """The middle of the widest best gap: scores of 1 should be above, of 0 below; -inf without both."""
-    if not (labels == 1).any() or not (labels == 0).any():
+    if not len(scores):
         return float("-inf")
-    order = np.argsort(scores, kind="stable")
-    s, y = scores[order], labels[order]
-    # Cut k has s[:k] below it.
-    errors = np.r_[0.0, np.cumsum(np.where(y == 1, cost, 0.0))] + np.r_[np.cumsum((y == 0)[::-1])[::-1], 0]
-    gaps = np.r_[0.0, np.diff(s), 0.0]
-    errors[1:-1][gaps[1:-1] == 0] = np.inf  # no threshold parts equal scores
-    best = np.flatnonzero(errors == errors.min())
-    k = int(best[np.argmax(gaps[best])])
-    return float((s[k - 1] + s[k]) / 2) if 0 < k < len(s) else float(s[0] - 1e-9 if k == 0 else s[-1] + 1e-9)
+    s, place = np.unique(scores, return_inverse=True)
+    run = Run(float(s[0]), float(s[0]))
+    run.add(s, *[np.bincount(place, labels == y, len(s)).astype(np.int64) for y in (1, 0)], cost)
+    return best_of([run], cost)
+
+
+def threshold_of(scored: DataFrame, cost: float = TRUSTED_COST) -> float:
+    """``best_threshold`` of any number of rows of score and label.
+
+    Scores are counted and dealt by ranges; each range gives one row, so the
+    driver has as many as there are partitions.
+    """
+    of = lambda y: F.count_if(F.col("label") == y)
+    counts = scored.groupBy("score").agg(of(1).alias("ones"), of(0).alias("zeros"))
+    runs = counts.repartitionByRange("score").sortWithinPartitions("score").mapInArrow(lambda b: _runs(b, cost), RUN_DDL)
+    return best_of([Run(**r.asDict()) for r in runs.collect()], cost)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
-    """Counts all of docs, and as trusted all that are marked 1; at most ``sample`` labelled documents set the threshold.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int | None = None) -> Model:
+    """Counts all of docs, and as trusted all that are marked 1; all labelled documents set the threshold.
 
-    Those are outside the held-out third, on which the threshold can be judged.
+    Those are outside the held-out third, on which the threshold can be judged;
+    ``sample`` bounds their number where a caller wants that.  Texts are scored
+    where they are, and only ids and scores are shuffled to the labels.
     Without trusted documents every ratio is 0 and nothing is rejected by it.
     """
     trusted = _counts(with_every_label(docs, every_label(labels, label).where("label = 1")))
     if not trusted.sum():
         return Model(np.zeros(BUCKETS), float("-inf"))
-    raw = _counts(docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")))
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    raw = _counts(texts.select("text"))
     p = (raw + 1e-3) / (raw + 1e-3).sum()
     model = Model(np.log((trusted + PRIOR * p) / (trusted.sum() + PRIOR)) - np.log(p), 0.0)
-    chosen = label_sample(labels, label, sample)
-    seen = with_labels(docs, chosen).mapInArrow(lambda b: _scored(b, model), "label int, score double").collect()  # ``sample`` rows at most
-    return Model(model.ratio, best_threshold(np.array([r.score for r in seen]), np.array([r.label for r in seen])))
+    chosen = training_labels(labels, label) if sample is None else label_sample(labels, label, sample)
+    scores = texts.where("doc_id is not null").mapInArrow(lambda b: _scored(b, model), texts.select("doc_id", F.lit(0.0).alias("score")).schema)
+    return Model(model.ratio, threshold_of(beside_labels(scores, chosen)))
 
 
 def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
