@@ -8,19 +8,21 @@ the passages of a document by what their encodings show, and a logistic unit
 scores the weighted sum.  Only documents have labels: what makes a passage
 matter is learned from them.
 
-The model is fitted on the driver from a bounded sample of labelled documents
-and their first passages, and is some 35,000 numbers; scoring reads each text
-once and whole, without a shuffle.
+The model is fitted on the driver from all passages of a bounded sample of
+labelled documents, which it keeps in files, and is some 35,000 numbers;
+scoring reads each text once and whole, without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .labelled import label_sample
@@ -28,8 +30,11 @@ from .text import U64, Words, binary_text, mix64, ranked, repeated, slices
 
 PASSAGE = 48
 SLICE_BYTES = 1 << 20
-#: The most labelled documents that the model is fitted on, and the most passages of one that the fit sees.
-SAMPLE, FIT_PASSAGES = 6_000, 64
+#: The most labelled documents that the model is fitted on.
+SAMPLE = 6_000
+#: Passages of a row that goes to the driver, partitions of such rows, of which it holds one at a time, and passages of
+#: documents whose gradient is taken at once (one document may have more).
+PIECE, PARTS, AT_ONCE = 4_096, 128, 16_384
 #: Rows and width of the embedding of words, bytes of a word's beginning, and words of a passage that a training step draws.
 WORD_ROWS, WORD_WIDTH, BEGINNING, DRAWN = 4_096, 8, 4, 8
 HIDDEN, ATTENTION, STEPS, BATCH, RATE, DECAY, SEED = 16, 8, 1500, 64, 0.01, 1e-4, 17
@@ -163,28 +168,57 @@ class Model:
         return _sigmoid(self.forward((x - self.mean) / self.scale, n, word_bags(data, offsets))[0])
 
 
-def train(x: np.ndarray, n: np.ndarray, y: np.ndarray, bag: Bag | None = None, seed: int = SEED) -> Model:
-    """Adam on mini-batches of documents, with DRAWN words of each passage; the same data in the same order give the same model."""
+Spans = list[list[tuple[int, int]]]
+
+
+def _together(n: np.ndarray) -> Iterator[slice]:
+    """Consecutive documents of AT_ONCE passages at most, or a single one."""
+    start, total = 0, 0
+    for i, k in enumerate(n.tolist()):
+        if i > start and total + k > AT_ONCE:
+            yield slice(start, i)
+            start, total = i, 0
+        total += k
+    yield slice(start, len(n))
+
+
+def train(x: np.ndarray, n: np.ndarray, y: np.ndarray, bag: Bag | None = None, seed: int = SEED, spans: Spans | None = None) -> Model:
+    """Adam on mini-batches of documents, with DRAWN words of each passage; the same data in the same order give the same model.
+
+    spans: where in x the passages of each document are, if not one document
+    after the other; x and the words of bag may be mapped files.
+    """
     rng = np.random.default_rng(seed)
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
     prior = np.clip(y.mean(), 0.01, 0.99)
     p = {"W": np.zeros((WORD_ROWS, WORD_WIDTH)), "E": draw(FEATURES + WORD_WIDTH, HIDDEN), "e": np.zeros(HIDDEN), "V": draw(HIDDEN, ATTENTION), "U": draw(HIDDEN, ATTENTION), "w": draw(ATTENTION), "c": draw(HIDDEN), "d": np.array([np.log(prior / (1 - prior))])}
-    model = Model(x.mean(0), x.std(0) + 0.02, p)
-    x = ((x - model.mean) / model.scale).astype(np.float64)
-    starts = np.cumsum(n) - n
+    if spans is None:
+        ends = np.cumsum(n)
+        spans = [[span] for span in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+    total, squares = np.zeros(FEATURES), np.zeros(FEATURES)
+    for i, j in (span for own in spans for span in own):
+        part = x[i:j].astype(np.float64)
+        total, squares = total + part.sum(0), squares + (part**2).sum(0)
+    mean = total / len(x)
+    scale = np.sqrt(np.maximum(squares / len(x) - mean**2, 0)) + 0.02
+    model = Model(mean.astype(x.dtype), scale.astype(x.dtype), p)
     places = None if bag is None else np.cumsum(bag[1]) - bag[1]
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     for step in range(1, STEPS + 1):
         chosen = rng.integers(0, len(n), BATCH)
-        rows = np.concatenate([np.arange(starts[i], starts[i] + n[i]) for i in chosen])
-        drawn = None
-        if bag is not None:
-            sizes = bag[1][rows]
-            at = places[rows][:, None] + (rng.random((len(rows), DRAWN)) * sizes[:, None]).astype(np.int64)
-            drawn = bag[0][at[sizes > 0]].ravel(), np.where(sizes > 0, DRAWN, 0)
-        score, state = model.forward(x[rows], n[chosen], drawn)
+        gradient = {k: np.zeros_like(v) for k, v in p.items()}
+        for docs in (chosen[some] for some in _together(n[chosen])):
+            rows = np.concatenate([np.arange(i, j) for d in docs for i, j in spans[d]])
+            drawn = None
+            if bag is not None:
+                sizes = bag[1][rows]
+                at = places[rows][:, None] + (rng.random((len(rows), DRAWN)) * sizes[:, None]).astype(np.int64)
+                drawn = bag[0][at[sizes > 0]].ravel(), np.where(sizes > 0, DRAWN, 0)
+            score, state = model.forward(((x[rows] - model.mean) / model.scale).astype(np.float64), n[docs], drawn)
+            for k, grad in model.gradient(state, _sigmoid(score) - y[docs]).items():
+                gradient[k] += grad * (len(docs) / BATCH)
         rate = RATE * (1 - step / (STEPS + 1))
-        for k, grad in model.gradient(state, _sigmoid(score) - y[chosen]).items():
+        for k, grad in gradient.items():
             first[k] = 0.9 * first[k] + 0.1 * grad
             second[k] = 0.99 * second[k] + 0.01 * grad**2
             p[k] -= rate * (first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8) + DECAY * p[k])
@@ -192,32 +226,56 @@ def train(x: np.ndarray, n: np.ndarray, y: np.ndarray, bag: Bag | None = None, s
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and words of all passages of every text, PIECE passages a row."""
     for batch in slices(batches, SLICE_BYTES):
         text = binary_text(batch.column("text"))
         (x, n), (ids, sizes) = passages(*text), word_bags(*text)
-        ends, cuts = np.cumsum(n), np.r_[0, np.cumsum(sizes)]
-        spans = [(e - k, min(e, e - k + FIT_PASSAGES)) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-        columns = [[x[i:j].tobytes() for i, j in spans], [ids[cuts[i] : cuts[j]].tobytes() for i, j in spans], [sizes[i:j].astype(np.int32).tobytes() for i, j in spans]]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *(pa.array(c, pa.binary()) for c in columns)], ["doc_id", "label", "features", "words", "sizes"])
+        sizes, cuts, ends = sizes.astype(np.int32), np.r_[0, np.cumsum(sizes)], np.cumsum(n)
+        for doc_id, label, k, end in zip(batch.column("doc_id"), batch.column("label"), n.tolist(), ends.tolist(), strict=True):
+            for piece, i in enumerate(range(end - k, end, PIECE)):
+                j = min(i + PIECE, end)
+                row = [x[i:j].tobytes(), ids[cuts[i] : cuts[j]].tobytes(), sizes[i:j].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id.as_py()], pa.int64()), pa.array([label.as_py()], pa.int32()), pa.array([piece], pa.int32()), *(pa.array([c], pa.binary()) for c in row)], ENCODED)
+
+
+ENCODED = ["doc_id", "label", "piece", "features", "words", "sizes"]
+
+
+def _trained(rows: Iterable[Row]) -> Model | None:
+    """The model of encoded pieces in any order, which are kept in files; None without both labels."""
+    with tempfile.TemporaryFile() as features, tempfile.TemporaryFile() as words:
+        pieces, sizes, done = [], [], 0
+        for r in rows:
+            features.write(r.features)
+            words.write(r.words)
+            sizes.append(np.frombuffer(r.sizes, np.int32))
+            pieces.append((r.doc_id, r.piece, r.label, done, done + len(sizes[-1])))
+            done = pieces[-1][-1]
+        docs = [list(own) for _, own in groupby(sorted(pieces), key=lambda p: p[0])]
+        y = np.array([own[0][2] for own in docs], float)
+        if len(set(y)) < 2:
+            return None
+        spans = [[p[3:] for p in own] for own in docs]
+        n = np.array([sum(j - i for i, j in own) for own in spans])
+        features.flush()
+        words.flush()
+        x = np.asarray(np.memmap(features, np.float32, "r")).reshape(-1, FEATURES)
+        ids = np.asarray(np.memmap(words, np.int32, "r")) if words.tell() else np.zeros(0, np.int32)
+        return train(x, n, y, (ids, np.concatenate(sizes).astype(np.int64)), spans=spans)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model | None:
     """A model of at most ``sample`` labelled documents outside the held-out third; None without both labels.
 
-    Features of their first FIT_PASSAGES passages come to the driver: some 500
-    bytes a passage, 260 MB at most.  Documents without an id have no label.
+    All of their passages go to the driver, a partition at a time, and there
+    into files: some 700 bytes a passage of 48 words.  Documents without an id
+    have no label.
     """
     chosen = label_sample(labels, label, sample)
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
     once = rows.groupBy("doc_id").agg(F.min(F.struct("label", "text")).alias("r")).select("doc_id", "r.*")  # so the sample bounds rows too
-    seen = once.mapInArrow(_encoded, "doc_id long, label int, features binary, words binary, sizes binary").collect()
-    seen.sort(key=lambda r: (r.doc_id, r.features))
-    y = np.array([r.label for r in seen], float)
-    if len(set(y)) < 2:
-        return None
-    x = [np.frombuffer(r.features, np.float32).reshape(-1, FEATURES) for r in seen]
-    bag = np.concatenate([np.frombuffer(r.words, np.int32) for r in seen]), np.concatenate([np.frombuffer(r.sizes, np.int32) for r in seen]).astype(np.int64)
-    return train(np.concatenate(x), np.array([len(b) for b in x]), y, bag)
+    seen = once.mapInArrow(_encoded, "doc_id long, label int, piece int, features binary, words binary, sizes binary")
+    return _trained(seen.repartition(PARTS, "doc_id", "piece").toLocalIterator())
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
