@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.llm.helpers import documents
 from tests.llm.test_models import corpus
 from tickloom.llm import labelled, quality_rules
@@ -52,18 +53,33 @@ def test_threshold_of_many_partitions(spark, coalesce):
             spark.conf.set(k, v)
 
 
-def test_threshold_takes_every_label(spark):
-    """More labelled documents than the bounded sample had: those behind it decide."""
-    ids = spark.range(70_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
-    late = {r.doc_id for r in labelled.training_labels(ids, "quality").collect()} - {r.doc_id for r in labelled.label_sample(ids, "quality").collect()}
+def many_labels(spark):
+    """Documents, labels and bad ids: more labels than the bounded sample had, of which those behind it alone are 0."""
+    ids = spark.range(70_000).selectExpr("id as doc_id")
+    ones = ids.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    late = {r.doc_id for r in labelled.training_labels(ones, "quality").collect()} - {r.doc_id for r in labelled.label_sample(ones, "quality").collect()}
     assert len(late) > 20_000
-    bad = spark.createDataFrame([(d,) for d in late], "doc_id long").limit(3000)
-    text = lambda b: "concat('GHI ', repeat(concat('XYZ', doc_id % 7, '### '), 20))" if b else "concat('abc ', repeat(concat('de', doc_id % 7, ' fgh '), 20))"
-    docs = ids.join(bad, "doc_id", "anti").selectExpr("doc_id", f"{text(0)} as text").union(bad.selectExpr("doc_id", f"{text(1)} as text"))
-    labels = ids.join(bad, "doc_id", "anti").union(bad.selectExpr("doc_id", "0", "0"))
+    bad = spark.createDataFrame([(d,) for d in sorted(late)[:3000]], "doc_id long")
+    text = lambda word: f"concat_ws(' ', transform(sequence(1, 55), i -> concat('{word}', (doc_id + i * i) % 977))) as text"
+    good = ids.join(bad, "doc_id", "anti")
+    docs = good.selectExpr("doc_id", text("abc")).union(bad.selectExpr("doc_id", text("XYZ###")))
+    return docs, good.selectExpr("doc_id", "1 as quality").union(bad.selectExpr("doc_id", "0")), bad
+
+
+def test_threshold_takes_every_label(spark):
+    """Labels behind the sample decide."""
+    docs, labels, bad = many_labels(spark)
     model = quality_rules.fit(docs, labels)
     assert model.threshold > float("-inf")  # the sample had none that is marked 0
-    assert quality_rules.judge(docs.join(bad, "doc_id"), model).where(f"llr >= {model.threshold}").count() == 0
+    assert quality_rules.judge(docs.join(bad, "doc_id"), model).where("kept").count() == 0
+    assert quality_rules.judge(docs.join(bad, "doc_id", "anti"), model).where("not kept").count() == 0
+
+
+def test_pipeline_takes_every_label(spark, tmp_path):
+    docs, labels, bad = many_labels(spark)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.keep_good(spark, docs, str(tmp_path)).select("doc_id").cache()
+    assert kept.count() == 67_000 and kept.join(bad, "doc_id").count() == 0
 
 
 def test_rows_that_share_an_id(spark):
