@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import random
 from datetime import datetime, timedelta
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.test_queries import table
 from tickloom.functions.numeric import ieee_ln, round_binary
+from tickloom.operators.features import realized_volatility
 from tickloom.plans.queries import QUERIES, SQL
 
 #: Closes of 0, alone and two in a row, with a step that makes each a bar of every timeframe.
@@ -55,3 +58,20 @@ def test_halves_of_the_sixth_digit(spark, tmp_path):
     """Bars of one trade each, whose vwap is its price."""
     prices = [65.6240625, 70.90656249999999, 32.2990625, *[(1000 * i + 985) / 16 / 1000 for i in range(40)]]
     agrees(spark, tmp_path, "enriched_bars_5m", prices, timedelta(minutes=5))
+
+
+@pytest.mark.parametrize("n", [1, 5, 300])
+def test_volatility_to_the_last_digit(spark, n):
+    """The root of the exact sum, which a sum that rounds at each of 300 additions is not."""
+    rng = random.Random(9)
+    bars = spark.createDataFrame([("x", "y", i, rng.randrange(1, 50000) / 100) for i in range(900)], "exchange string, symbol string, at long, close double")
+    r = F.ln("close") - F.ln(F.lag("close").over(Window.orderBy("at")))
+    rows = realized_volatility(bars, n, "vol", "at").withColumn("r", r).orderBy("at").collect()
+    assert rows[0].vol is None
+    for i in range(1, len(rows)):
+        assert rows[i].vol == math.sqrt(math.fsum(x.r * x.r for x in rows[max(1, i - n + 1) : i + 1]))
+
+
+@pytest.mark.parametrize("values", [[1e300, 1e-300, 5.0, 5.0, 1e-300], [3.0, 3.0], [7.0]])
+def test_volatility_of_far_prices(spark, tmp_path, values):
+    agrees(spark, tmp_path, "realized_vol_w5", values, timedelta(minutes=1))

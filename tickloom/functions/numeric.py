@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,17 @@ def round_binary(x: Column, digits: int) -> Column:
     return F.when(F.abs(whole) < float("inf"), whole / scale).otherwise(x)
 
 
+def sum_over(x: Column, w: WindowSpec) -> Column:
+    """Sum of doubles over a window, rounded once instead of at every addition; null without a value.
+
+    Multiples of 2**-20 add without rounding up to 2**33, and what is left of
+    each value is so small that rounding in its sum does not reach the result.
+    """
+    coarse = F.rint(x * float(2**20)) / float(2**20)
+    rest = F.when(F.abs(coarse) < float("inf"), x - coarse).otherwise(0.0)
+    return F.sum(coarse).over(w) + F.sum(rest).over(w)
+
+
 def total(*terms: Column) -> Column:
     """Sum in which nulls count as 0."""
     out = F.lit(0.0)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ieee_div, ieee_ln
+from ..functions.numeric import ieee_div, ieee_ln, sum_over
 from ..schemas import SERIES
 
 
@@ -45,7 +45,7 @@ def realized_volatility(bars: DataFrame, window_bars: int, column: str, order: s
     w = series_window(bars, order)
     r = ieee_ln(F.col("close")) - ieee_ln(F.lag("close").over(w))
     bars = bars.withColumn("__r2", r * r)
-    return bars.withColumn(column, F.sqrt(F.sum("__r2").over(w.rowsBetween(1 - window_bars, 0)))).drop("__r2")
+    return bars.withColumn(column, F.sqrt(sum_over(F.col("__r2"), w.rowsBetween(1 - window_bars, 0)))).drop("__r2")
 
 
 def flash_moves(bars: DataFrame, limits: EventThresholds = DEFAULTS, order: str = "bar_timestamp_utc") -> DataFrame:
