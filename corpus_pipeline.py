@@ -29,9 +29,9 @@ NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules; the raw multinomial is that of docs."""
+    """Documents that pass the quality rules; the raw multinomial is that of docs, the threshold that of every label."""
     ship(spark)
-    model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), hold_out=False)
     return quality_rules.judge_rows(docs, model).where("kept").select("row.*")
 
 

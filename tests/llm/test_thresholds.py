@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import documents
@@ -53,6 +54,9 @@ def test_threshold_of_many_partitions(spark, coalesce):
             spark.conf.set(k, v)
 
 
+BAD = "concat_ws(' ', transform(sequence(1, 55), i -> concat('XYZ###', (doc_id + i * i) % 977))) as text"
+
+
 def many_labels(spark):
     """Documents, labels and bad ids: more labels than the bounded sample had, of which those behind it alone are 0."""
     ids = spark.range(70_000).selectExpr("id as doc_id")
@@ -82,6 +86,18 @@ def test_pipeline_takes_every_label(spark, tmp_path):
     assert kept.count() == 67_000 and kept.join(bad, "doc_id").count() == 0
 
 
+def test_pipeline_takes_labels_of_every_third(spark, tmp_path):
+    """Labels that op 10 holds out decide in the pipeline, which judges nothing on them."""
+    docs, _, bad = many_labels(spark)
+    held = spark.range(70_000).where(labelled.held_out(F.col("id"))).selectExpr("id as doc_id")
+    docs = docs.join(bad, "doc_id", "anti").join(held, "doc_id", "anti").limit(500).union(held.limit(60).selectExpr("doc_id", BAD)).cache()
+    labels = docs.selectExpr("doc_id", "if(text like 'XYZ%', 0, 1) as quality", "0 as toxic").cache()
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert quality_rules.fit(docs, labels).threshold == float("-inf")
+    kept = corpus_pipeline.keep_good(spark, docs, str(tmp_path))
+    assert kept.count() == 500 and kept.where("text like 'XYZ%'").count() == 0
+
+
 def test_rows_that_share_an_id(spark):
     """Every row of a labelled document counts, in whatever partition it is."""
     docs, labels = corpus(spark)

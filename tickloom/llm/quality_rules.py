@@ -6,8 +6,8 @@ the number of n-grams.  Texts unlike the trusted ones have a low ratio and fall
 below a threshold that is the same for every document and rerun.
 
 The raw multinomial counts every document and the trusted one every document
-labelled 1.  The threshold is the best of all documents that are labelled and
-outside the held-out third.
+labelled 1.  The threshold is the best of all documents that are labelled, or of
+those outside the held-out third where it is to be judged on that.
 """
 
 from __future__ import annotations
@@ -166,12 +166,13 @@ def threshold_of(scored: DataFrame, cost: float = TRUSTED_COST) -> float:
     return best_of([Run(**r.asDict()) for r in runs.collect()], cost)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int | None = None) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int | None = None, hold_out: bool = True) -> Model:
     """Counts all of docs, and as trusted all that are marked 1; all labelled documents set the threshold.
 
-    Those are outside the held-out third, on which the threshold can be judged;
-    ``sample`` bounds their number where a caller wants that.  Texts are scored
-    where they are, and only ids and scores are shuffled to the labels.
+    With ``hold_out`` those are outside the held-out third, on which the
+    threshold can then be judged; ``sample`` bounds their number where a caller
+    wants that.  Texts are scored where they are, and only ids and scores are
+    shuffled to the labels.
     Without trusted documents every ratio is 0 and nothing is rejected by it.
     """
     trusted = _counts(with_every_label(docs, every_label(labels, label).where("label = 1")))
@@ -181,7 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     raw = _counts(texts.select("text"))
     p = (raw + 1e-3) / (raw + 1e-3).sum()
     model = Model(np.log((trusted + PRIOR * p) / (trusted.sum() + PRIOR)) - np.log(p), 0.0)
-    chosen = training_labels(labels, label) if sample is None else label_sample(labels, label, sample)
+    if sample is not None:
+        chosen = label_sample(labels, label, sample, hold_out)
+    else:
+        chosen = training_labels(labels, label) if hold_out else every_label(labels, label)
     scores = texts.where("doc_id is not null").mapInArrow(lambda b: _scored(b, model), texts.select("doc_id", F.lit(0.0).alias("score")).schema)
     return Model(model.ratio, threshold_of(beside_labels(scores, chosen)))
 
