@@ -44,7 +44,7 @@ from .components import components
 from .hot import hot_limit, join_split, partitions, pieces, text_bytes
 from .scratch import Scratch
 from .signature_tree import bitmaps, linked_pairs, similar_sets, words_for
-from .text import LAST, U64, WORD, Words, binary_text, chained, keyed, mix64, slices
+from .text import LAST, U64, WORD, Words, binary_text, chained, gives_back, keyed, mix64, slices
 
 SHINGLE, PERCENT = 4, 85
 CHUNK_BYTES = 1 << 20
@@ -205,6 +205,7 @@ def _addresses(sid: np.ndarray, most_keys: np.ndarray) -> tuple[np.ndarray, np.n
     return mix64(np.repeat(sid[:, 0], each) + which.astype(U64) * U64(0x9E3779B97F4A7C15)), each
 
 
+@gives_back
 def _documents(batches: Iterator[pa.RecordBatch], width: int, percent: int, miss: float, buckets: int) -> Iterator[pa.RecordBatch]:
     """A row for each document, and the keys of a chunk as a row for each bucket."""
     for batch in slices(batches, CHUNK_BYTES):
@@ -237,6 +238,7 @@ def _documents(batches: Iterator[pa.RecordBatch], width: int, percent: int, miss
 _SHARED = pa.schema([("key", pa.int64()), ("address", pa.int64())])
 
 
+@gives_back
 def _shared(table: pa.Table) -> pa.Table:
     """key and address, of keys that several addresses have.
 
@@ -316,6 +318,7 @@ def _own_labels(label: np.ndarray) -> np.ndarray:
     return np.unique(label, return_inverse=True)[1]
 
 
+@gives_back
 def _joined(table: pa.Table, percent: int, exact: bool) -> pa.Table:
     """Links within each group, by signature trees: of similar sets, or of those that may be by their bitmaps.
 
@@ -341,6 +344,7 @@ def _joined(table: pa.Table, percent: int, exact: bool) -> pa.Table:
     return _links(out, sids)
 
 
+@gives_back
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The sets of texts whose identity is the expected one, once for a slice."""
     for batch in slices(batches, CHUNK_BYTES):

@@ -14,6 +14,7 @@ are nested: a larger budget keeps every document of a smaller one.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,10 +71,11 @@ def _ranked(per: DataFrame, scratch: Scratch) -> DataFrame:
     task = F.shiftright("at", 33).cast("int")
     counts = sorted(tuple(r) for r in rows.groupBy(task.alias("task")).count().collect())  # one row for each task
     before, total = [], 0
-    for k, n in counts:
-        before.append((k, total))
+    for _, n in counts:
+        before.append(total)
         total += n
-    before = F.broadcast(rows.sparkSession.createDataFrame(before, "task int, before long"))
+    before = pa.table([pa.array([k for k, _ in counts], pa.int32()), pa.array(before, pa.int64())], ["task", "before"])
+    before = F.broadcast(rows.sparkSession.createDataFrame(before))  # from a list it would start Python workers
     return rows.withColumn("task", task).join(before, "task").withColumn("turn", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("task", "before", "at")
 
 

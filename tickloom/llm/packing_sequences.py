@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .pretokens import CLASSED_BELOW, OTHERS, as_letters, ranges
 from .scratch import Scratch
+from .text import gives_back
 
 LENGTH = 2048
 #: Items that one task packs in a round, and pieces that it packs at once at first.
@@ -130,6 +131,7 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, within long, fill long"
 
 
+@gives_back
 def _packed(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     own = encoder(path)
     first_bin = TaskContext.get().partitionId() << 36
@@ -156,6 +158,7 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
         yield emit()
 
 
+@gives_back
 def _merged(table: pa.Table, capacity: int) -> pa.Table:
     """One round in one group: the item that each becomes part of, named by its smallest, and its place and fill."""
     order = np.argsort(table.column("item").to_numpy())
@@ -203,7 +206,7 @@ def pack_sequences(docs: DataFrame, path: str, scratch: Scratch, capacity: int =
             goes_on |= (F.col("fill") < last.fill) | ((F.col("fill") == last.fill) & (F.col("into") <= last.into))
         done.append(moved.where(~goes_on))
         open_ = moved.where(goes_on)
-    places = scratch.spark.createDataFrame([], "bin long, into long, base long")
+    places = scratch.spark.range(0).select(*[F.col("id").alias(c) for c in ("bin", "into", "base")])  # a list would start Python workers
     for rows in done:
         places = places.unionByName(rows.select("bin", "into", "base"))
     return pieces.join(places, "bin", "left").select(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .labelled import beside_labels, every_label, label_sample, training_labels, with_every_label
-from .text import U64, Words, binary_text, coded, is_space, mix64, ranked, repeated, slices
+from .text import U64, Words, binary_text, coded, gives_back, is_space, mix64, ranked, repeated, slices
 
 N, BUCKETS = 3, 1 << 16
 #: Trusted counts are smoothed by so many draws from the raw multinomial.
@@ -63,6 +63,7 @@ class Model:
         return np.bincount(row, self.ratio[gram], rows) / np.maximum(np.bincount(row, minlength=rows), 1)
 
 
+@gives_back
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in slices(batches, SLICE_BYTES):
@@ -80,6 +81,7 @@ def _counts(texts: DataFrame) -> np.ndarray:
     return total
 
 
+@gives_back
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, SLICE_BYTES):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.scores(*binary_text(batch.column("text"))))], ["doc_id", "score"])
@@ -234,6 +236,7 @@ COLUMNS_DDL = "n_words long, word_chars long, n_symbols long, n_dup_lines long,
 OWN = [x.split()[0] for x in COLUMNS_DDL.split(", ")]
 
 
+@gives_back
 def _judged(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, SLICE_BYTES):
         data, offsets = binary_text(batch.column("text"))

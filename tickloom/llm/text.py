@@ -6,9 +6,11 @@ UTF-8 bytes of many texts at once, so no Python code runs per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cached_property
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import cached_property, wraps
 from hashlib import blake2b
+from inspect import isgeneratorfunction
 
 import numpy as np
 import pyarrow as pa
@@ -150,6 +152,36 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int, column: str = "tex
             start = stop
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system: Arrow's, and that of numpy where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def gives_back(kernel: Callable) -> Callable:
+    """A kernel of Arrow batches or tables that ends with ``give_back``.
+
+    Workers outlive their tasks: each would keep what its largest slice took,
+    beside tasks that need none of it.
+    """
+    if isgeneratorfunction(kernel):
+
+        @wraps(kernel)
+        def run(rows, *args):
+            yield from kernel(rows, *args)
+            give_back()
+    else:
+
+        @wraps(kernel)
+        def run(rows, *args):
+            out = kernel(rows, *args)
+            give_back()
+            return out
+
+    return run
+
+
 def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
